@@ -1,0 +1 @@
+"""Every source in scope is bounded, so there are no streaming operators."""
