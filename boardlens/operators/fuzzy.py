@@ -41,7 +41,6 @@ def _choice_blocks(choices: DataFrame, cutoff: int) -> DataFrame:
         .withColumn("_t", F.explode(F.sequence(_edits(cutoff, length), _edits(cutoff, longest))))
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_t"))))
         .withColumn("_seg", F.substr("_choice", start + 1, size))
-        .select("_choice", *BLOCK)
     )
 
 
@@ -63,7 +62,7 @@ def _name_blocks(names: DataFrame, cutoff: int) -> DataFrame:
         .where("_low <= _high")
         .withColumn("_at", F.explode(F.sequence("_low", "_high")))
         .withColumn("_seg", F.substr("_name", F.col("_at") + 1, F.col("_size")))
-        .select("_name", *BLOCK)
+        .drop("_low", "_high", "_size", "_at")
     )
 
 
@@ -75,36 +74,47 @@ def best_match(
     cutoff: int = 80,
     match: str = "match",
     score: str = "score",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(name, match, score) for each distinct name with a choice at or above ``cutoff``.
+    """(name, match, score, carried columns of the choice) for each distinct name with a match.
 
-    The best score wins, then the alphabetically first choice. Null and blank names match
-    nothing. Names equal to a choice after normalising are settled by an equi-join first.
+    A match needs a score of at least ``cutoff``; the best score wins, then the alphabetically
+    first choice. Null and blank names match nothing. Names equal to a choice after normalising
+    are settled by an equi-join, only the others are cut into segments.
     """
     if not 50 < cutoff <= 100:
         raise ValueError("cutoff must lie above 50 and not above 100")
-    raw = names.select(name).distinct().withColumn("_name", normal_name(F.col(name)))
-    wanted = raw.select("_name").where(F.length("_name") > 0).distinct()
+    wanted = (
+        names.select(name)
+        .distinct()
+        .withColumn("_name", normal_name(F.col(name)))
+        .where(F.length("_name") > 0)
+    )
     offered = (
-        choices.select(choice, normal_name(F.col(choice)).alias("_choice"))
+        choices.select(F.struct(choice, *carry).alias("_match"), choice)
+        .withColumn("_choice", normal_name(F.col(choice)))
         .where(F.length("_choice") > 0)
         .groupBy("_choice")
-        .agg(F.min(choice).alias(match))
+        .agg(F.min("_match").alias("_match"))
     )
-    equal = F.col("_name") == F.col("_choice")
-    exact = wanted.join(offered, equal).select("_name", match, F.lit(100.0).alias(score))
-
-    rest = wanted.join(offered, equal, "left_anti")
-    edits = F.levenshtein("_name", "_choice", 2**30)
+    equal = wanted.join(offered, F.col("_name") == F.col("_choice"), "left")
+    exact = equal.where(F.col("_choice").isNotNull())
+    rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
     longest = F.greatest(F.length("_name"), F.length("_choice"))
     near = (
         _name_blocks(rest, cutoff)
-        .join(_choice_blocks(offered.select("_choice"), cutoff), BLOCK)
-        .where(edits <= F.col("_t"))
-        .select("_name", "_choice", (F.lit(100.0) * (longest - edits) / longest).alias(score))
-        .join(offered, "_choice")
-        .groupBy("_name")
-        .agg(F.min(F.struct((-F.col(score)).alias("_cost"), F.col(match))).alias("_best"))
-        .select("_name", f"_best.{match}", (-F.col("_best._cost")).alias(score))
+        .join(_choice_blocks(offered, cutoff), BLOCK)
+        .withColumn("_edits", F.levenshtein("_name", "_choice"))
+        .where("_edits <= _t")
+        .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
+        .groupBy(name)
+        .agg(F.min(F.struct((-F.col(score)).alias("_cost"), "_match")).alias("_best"))
+        .select(name, "_best._match", (-F.col("_best._cost")).alias(score))
+    )
+    found = exact.select(name, "_match", F.lit(100.0).alias(score)).unionByName(near)
+    return found.select(
+        name,
+        F.col(f"_match.{choice}").alias(match),
+        score,
+        *[F.col(f"_match.{c}").alias(c) for c in carry],
     )
-    return raw.join(exact.unionByName(near), "_name").select(name, match, score)

@@ -50,6 +50,14 @@ def flag_matching(left: DataFrame, right: DataFrame, keys: list[str], flag: str)
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def earliest_other(
+    df: DataFrame, keys: list[str], is_target: Column, start: Column, out: str
+) -> DataFrame:
+    """Per keys the earliest start of the rows that are not targets."""
+    others = df.where(~is_target & start.isNotNull())
+    return others.groupBy(*keys).agg(F.min(start).alias(out))
+
+
 def preceded_by_other(
     df: DataFrame, keys: list[str], label: str, is_target: Column, start: Column
 ) -> DataFrame:
@@ -59,15 +67,13 @@ def preceded_by_other(
     earliest of them, and a label qualifies exactly when its latest start does. So two
     map-side-combined aggregates replace the self join of all row pairs, whatever the group size.
     """
-    rows = df.select(*keys, label, is_target.alias("_target"), start.alias("_start")).where(
-        F.col("_target").isNotNull() & F.col("_start").isNotNull()
-    )
     latest = (
-        rows.where("_target").groupBy(*keys, label).agg(F.max("_start").alias("_latest"))
+        df.where(is_target & start.isNotNull())
+        .groupBy(*keys, label)
+        .agg(F.max(start).alias("_latest"))
     )
-    earliest = rows.where("NOT _target").groupBy(*keys).agg(F.min("_start").alias("_earliest"))
     return (
-        latest.join(earliest, keys)
+        latest.join(earliest_other(df, keys, is_target, start, "_earliest"), keys)
         .where(F.col("_latest") >= F.col("_earliest"))
         .select(*keys, label)
     )

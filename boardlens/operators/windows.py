@@ -16,6 +16,28 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def first_of_newest(
+    df: DataFrame, key: str, group: str, newest: str, order: list[str]
+) -> DataFrame:
+    """One row per key: the first row, in ``order``, of the group that holds the newest row.
+
+    The newest row of a key is the one with the largest ``newest`` (null last), then the first
+    in ``order``. Two map-side-combined aggregates, so neither key nor group needs one task.
+    """
+    rank = F.struct(F.col(newest).isNull(), -F.col(newest), *order)
+    rest = [c for c in df.columns if c != key]
+    return (
+        df.groupBy(key, F.col(group).alias("_group"))
+        .agg(
+            F.min(rank).alias("_rank"),
+            F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"),
+        )
+        .groupBy(key)
+        .agg(F.min_by("_row", "_rank").alias("_row"))
+        .select(key, "_row.*")
+    )
+
+
 def row_lag(
     df: DataFrame,
     key: str,

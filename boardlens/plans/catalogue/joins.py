@@ -14,7 +14,7 @@ from boardlens.operators.joins import (
     null_safe_left,
     preceded_by_other,
 )
-from boardlens.operators.windows import first_per_key
+from boardlens.operators.windows import first_of_newest, first_per_key
 from boardlens.plans.catalogue.registry import query
 from boardlens.sources.tables import read_tables
 
@@ -80,10 +80,31 @@ def internal_promotion(spark, root):
     return flagged.withColumn("internal_promotion", F.col("internal_promotion").cast("int"))
 
 
+@query("semi_join", """
+SELECT c_custkey, c_mktsegment FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)
+""")
+def semi_join(spark, root):
+    customer, orders = read_tables(spark, root, "customer", "orders")
+    big = orders.where("o_totalprice > 450000").withColumnRenamed("o_custkey", "c_custkey")
+    return keep_matching(customer, big, ["c_custkey"]).select("c_custkey", "c_mktsegment")
+
+
+@query("first_per_key", """
+SELECT o_custkey, o_orderkey, o_orderstatus
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey)
+        AS rn FROM orders) WHERE rn = 1
+""")
+def newest_order(spark, root):
+    (orders,) = read_tables(spark, root, "orders")
+    newest = first_per_key(orders, ["o_custkey"], [F.col("o_orderdate").desc(), "o_orderkey"])
+    return newest.select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
 @query("latest_then_first", """
 WITH newest AS (
   SELECT o_custkey, o_orderpriority,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
+         row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC, o_orderkey) AS rn
   FROM orders
 ), mine AS (
   SELECT o.*, row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderkey) AS pos
@@ -94,10 +115,13 @@ SELECT o_custkey, o_orderkey, o_orderpriority FROM mine WHERE pos = 1
 """)
 def latest_then_first(spark, root):
     (orders,) = read_tables(spark, root, "orders")
-    newest = first_per_key(orders, ["o_custkey"], [F.col("o_orderdate").desc(), "o_orderkey"])
-    pair = ["o_custkey", "o_orderpriority"]
-    mine = keep_matching(orders, newest.select(*pair), pair)
-    return first_per_key(mine, ["o_custkey"], ["o_orderkey"]).select("o_orderkey", *pair)
+    rows = orders.withColumns(
+        {"_started": F.year("o_orderdate"), "_key": F.struct("o_orderkey")}
+    )
+    picked = first_of_newest(
+        rows, "o_custkey", "o_orderpriority", "_started", ["_key"]
+    )
+    return picked.select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
 @query("fuzzy_best_match", """

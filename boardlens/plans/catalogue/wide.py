@@ -14,7 +14,8 @@ from boardlens.operators import features
 from boardlens.plans import governance as gov
 from boardlens.plans.catalogue.registry import query
 from boardlens.plans.experiments import BINARY, NUMERIC, prepare_features
-from boardlens.sources.tables import read_tables
+from boardlens.sources.csvio import snapshot
+from boardlens.sources.tables import read_tables, scratch
 
 YEAR = 1998
 AS_OF = "2003-06-30"
@@ -397,8 +398,7 @@ SELECT ticker, CAST(dense_rank() OVER (ORDER BY roachange) - 1 AS INTEGER) AS la
 FROM complete
 """)
 def feature_frame(spark, root):
-    rounded = full_assembly(spark, root)
-    frame = prepare_features(rounded).frame
+    frame = prepare_features(snapshot(full_assembly(spark, root), scratch(spark))).frame
     x = vector_to_array("features")
     return frame.select(
         "ticker",

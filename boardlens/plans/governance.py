@@ -32,14 +32,9 @@ from boardlens.operators.aggregates import (
     shannon,
 )
 from boardlens.operators.fuzzy import best_match
-from boardlens.operators.joins import (
-    flag_matching,
-    keep_matching,
-    null_safe_left,
-    preceded_by_other,
-)
+from boardlens.operators.joins import earliest_other, keep_matching, null_safe_left
 from boardlens.operators.rows import overwrite_where
-from boardlens.operators.windows import first_per_key, row_lag
+from boardlens.operators.windows import first_of_newest, row_lag
 from boardlens.sources.html import first_table
 
 # Marker of joint chief executives and the year that sorts them first.
@@ -101,10 +96,11 @@ def director_degrees(
         .select("directorid", F.col("companyname").alias("university"), "qualification")
         .distinct()
     )
-    matched = best_match(degrees, "university", universities, "name", cutoff, match="name")
-    scores = matched.join(universities, "name").select("university", "uniscoreavg")
+    matched = best_match(
+        degrees, "university", universities, "name", cutoff, carry=("uniscoreavg",)
+    )
     return (
-        degrees.join(scores, "university", "left")
+        degrees.join(matched.select("university", "uniscoreavg"), "university", "left")
         .withColumns(degree_flags(F.col("qualification")))
         .groupBy("directorid")
         .agg(
@@ -114,14 +110,32 @@ def director_degrees(
     )
 
 
-def newest_then_first(ceo: DataFrame) -> DataFrame:
-    """One row per ticker: the first row, in key order, of the director who started last.
+def ceo_spells(held: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """One row per (ticker, director, name, role) of the chief-executive roles in ``held``.
 
-    ``_key`` holds the keys as they were before joint chief executives got one marker.
+    ``_key`` keeps the keys as they were before joint chief executives get one marker.
     """
-    newest = first_per_key(ceo, ["ticker"], [F.col("validstart").desc_nulls_last(), "_key"])
-    mine = keep_matching(ceo, newest.select("ticker", "directorid"), ["ticker", "directorid"])
-    return first_per_key(mine, ["ticker"], ["_key"])
+    role = F.col("rolename")
+    spells = (
+        held.where(is_ceo(role))
+        .dropna(subset=ROLE_KEYS)
+        .groupBy(*ROLE_KEYS)
+        .agg(
+            F.min(strict_date(F.col("datestartrole"))).alias("start"),
+            F.max(lenient_date(F.col("datestartrole"))).alias("latest_start"),
+            F.max(date_or(F.col("dateendrole"), as_of)).alias("end"),
+        )
+        .withColumns(
+            {
+                "_key": F.struct("directorid", "directorname", "rolename"),
+                "validstart": F.year("start"),
+                "tenure": tenure_years(F.col("start"), F.col("end")),
+                "founder": contains_ci(role, "founder", null_as=False),
+                "is_co_ceo": contains_ci(role, "co-ceo", null_as=False),
+            }
+        )
+    )
+    return overwrite_where(spells, F.col("is_co_ceo"), CO_CEO | {"validstart": CO_CEO_YEAR})
 
 
 def ceo_background(
@@ -133,50 +147,37 @@ def ceo_background(
     as_of: dt.date | str,
     cutoff: int = 80,
 ) -> DataFrame:
-    """One row per ticker about its current chief executive; open end dates mean ``as_of``."""
+    """One row per ticker about its current chief executive; open end dates mean ``as_of``.
+
+    The current one is the first row, in key order, of the director who started last. Degrees
+    and earlier roles are looked up for that row only.
+    """
+    role = F.col("rolename")
     listed = companies.where(F.col("ticker").isNotNull()).select("ticker").distinct()
     held = keep_matching(firm_roles(roles, orgs), listed, ["ticker"])
-    current = held.where(is_ceo(F.col("rolename")))
-    spells = (
-        current.dropna(subset=ROLE_KEYS)
-        .groupBy(*ROLE_KEYS)
-        .agg(
-            F.min(strict_date(F.col("datestartrole"))).alias("start"),
-            F.max(date_or(F.col("dateendrole"), as_of)).alias("end"),
-        )
-    )
-    directors = current.select("directorid").distinct()
-    degrees = director_degrees(education, universities, directors, cutoff)
-    promoted = preceded_by_other(
-        held.where(F.col("directorid").isNotNull()),
+    current = first_of_newest(
+        ceo_spells(held, as_of), "ticker", "directorid", "validstart", ["_key"]
+    ).withColumns({"directorid": F.col("_key.directorid")})
+    other = earliest_other(
+        held,
         ["ticker", "directorid"],
-        "rolename",
-        contains_ci(F.col("rolename"), "CEO"),
+        contains_ci(role, "CEO"),
         lenient_date(F.col("datestartrole")),
+        "other_start",
     )
-    role = F.col("rolename")
-    ceo = (
-        flag_matching(
-            spells.join(degrees, "directorid", "left"),
-            promoted,
-            ["ticker", "directorid", "rolename"],
-            "internal_promotion",
-        )
+    executives = roles.where(is_ceo(role)).select("directorid").distinct()
+    degrees = director_degrees(education, universities, executives, cutoff)
+    promoted = F.col("latest_start") >= F.col("other_start")
+    return (
+        current.join(other, ["ticker", "directorid"], "left")
+        .join(degrees, "directorid", "left")
+        .withColumn("internal_promotion", F.coalesce(promoted, F.lit(False)))
         .withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in DEGREES})
-        .withColumns(
-            {
-                "_key": F.struct("directorid", "directorname", "rolename"),
-                "validstart": F.year("start"),
-                "tenure": tenure_years(F.col("start"), F.col("end")),
-                "founder": contains_ci(role, "founder", null_as=False),
-                "is_co_ceo": contains_ci(role, "co-ceo", null_as=False),
-            }
+        .select(
+            "ticker", "uniscoreavg", *DEGREES, "internal_promotion", "tenure", "founder",
+            "is_co_ceo",
         )
     )
-    marked = overwrite_where(ceo, F.col("is_co_ceo"), CO_CEO | {"validstart": CO_CEO_YEAR})
-    return newest_then_first(marked).select(
-        "ticker", "uniscoreavg", *DEGREES, "internal_promotion", "tenure", "founder", "is_co_ceo"
-    )
 
 
 def committee_counts(committees: DataFrame, orgs: DataFrame, approximate=False) -> DataFrame:
