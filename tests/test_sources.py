@@ -1,0 +1,106 @@
+"""CSV, rankings, run lists, HTML tables and scratch folders."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from boardlens import schemas
+from boardlens.plans import governance as gov
+from boardlens.sources import csvio, html, runlists, tables
+
+
+def test_csv_keeps_nulls_quotes_and_types(spark, tmp_path):
+    rows = [("AAA", 'a "quoted", name', 1.5), (None, "x", None), ("NA", None, 2.0)]
+    df = spark.createDataFrame(rows, "ticker string, name string, roa double")
+    path = str(tmp_path / "t")
+    csvio.write_csv(df, path)
+    csvio.write_csv(df, path)
+    back = csvio.read_csv(spark, path, df.schema)
+    assert back.schema == df.schema
+    assert {tuple(r) for r in back.collect()} == set(rows)
+
+
+def test_companies_from_governance(spark):
+    df = spark.createDataFrame(
+        [("A", "S&P 500", 2023), (None, None, 2023), ("B", "S&P 600", 2022)], schemas.GOVERNANCE
+    )
+    assert {tuple(r) for r in gov.companies(df).collect()} == {("A", "S&P 500"), (None, None)}
+
+
+def test_snapshot_keeps_types(spark, tmp_path):
+    df = spark.range(3).withColumn("d", F.lit("2020-01-01").cast("date"))
+    back = csvio.snapshot(df, str(tmp_path / "s"))
+    assert back.schema.simpleString() == df.schema.simpleString() and back.count() == 3
+
+
+def test_yearly_rankings(spark, tmp_path):
+    for year in csvio.RANKING_YEARS:
+        text = "rank,extra,name,scores_overall\n" f"1,z,Uni,{year - 2000}\nReporter,z,Uni,99\n"
+        (tmp_path / f"{year}_rankings.csv").write_text(text)
+    df = csvio.read_rankings(spark, str(tmp_path))
+    assert df.columns == ["rank", "name", "scores_overall", "year"]
+    assert {r["year"] for r in df.collect()} == set(csvio.RANKING_YEARS)
+    assert [tuple(r) for r in gov.universities(df).collect()] == [("Uni", 17.5)]
+
+
+def test_later_run_list_wins(spark, tmp_path):
+    first, second = tmp_path / "1.txt", tmp_path / "2.txt"
+    first.write_text("a: [0.1, 0.2]\nb: [0.3]\nc: [0.9]\nc: [0.8]\n")
+    second.write_text("\na: [0.5, 1e-05, 0.25]\n")
+    runs = runlists.read_run_lists(spark, [str(first), str(second)])
+    assert {tuple(r) for r in runs.collect()} == {
+        ("a", 0, 0.5), ("a", 1, 1e-05), ("a", 2, 0.25), ("b", 0, 0.3), ("c", 0, 0.8),
+    }
+
+
+def test_run_lists_round_trip(spark, tmp_path):
+    rows = [("m", i, v) for i, v in enumerate([0.25, 0.5, 0.125])] + [("n", 0, 1e-07)]
+    df = spark.createDataFrame(rows, schemas.RUNS).repartition(5)
+    lines = {r["value"] for r in runlists.format_run_lists(df).collect()}
+    assert "m: [0.25, 0.5, 0.125]" in lines
+    path = str(tmp_path / "runs")
+    runlists.write_run_lists(df, path)
+    back = runlists.read_run_lists(spark, [path])
+    assert {tuple(r) for r in back.collect()} == set(rows)
+
+
+PAGE = """<html><!-- <table><tr><td>not this</td></tr></table> --><body>
+<TABLE class="wikitable"><tbody><tr><th>Symbol</th><th>Security
+</th><th>GICS Sector</th><th>Founded</th></tr>
+<tr><td><a href="/x">AAA</a></td><td>Tom &amp; Sons &lt;Ltd&gt;</td><td>Energy</td><td>1</td></tr>
+<tr><td>BBB</td><td>  Two
+ words </td><td>Health&nbsp;Care</td></tr></tbody></TABLE>
+<table><tr><th>Symbol</th></tr><tr><td>ZZZ</td></tr></table></body></html>"""
+
+
+def test_first_html_table(spark):
+    pages = spark.createDataFrame([(1, PAGE), (2, "<p>none</p>"), (3, None)], "id int, html string")
+    out = {tuple(r) for r in gov.index_members(pages).collect()}
+    assert out == {("AAA", "Tom & Sons <Ltd>", "Energy"), ("BBB", "Two words", "Health Care")}
+    wide = html.first_table(pages, "html", {"Founded": "f", "Absent": "x"}, keep=["id"])
+    assert {tuple(r) for r in wide.collect()} == {(1, 0, "1", None), (1, 1, None, None)}
+
+
+def test_pull(spark):
+    df = spark.range(5)
+    assert tables.pull(spark, "SELECT count(*) AS n FROM {t} WHERE id > 1", t=df).first()["n"] == 3
+
+
+def test_scratch_uses_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = tables.scratch(spark), tables.scratch(spark)
+    assert one != two and one.startswith(base + "/")
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    (customer,) = tables.read_tables(spark, "/root/testdata/sf0.001", "customer")
+    df = customer.where("c_nationkey = 7").select("c_custkey")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(c_nationkey,7)" in plan
+    assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+
+
+@pytest.mark.parametrize("name", [n for n in dir(schemas) if n.isupper() and n[0] != "_"])
+def test_schemas(name):
+    assert len(getattr(schemas, name).names) >= 2
