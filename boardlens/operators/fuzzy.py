@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.functions.text import normal_name
+from boardlens.operators.joins import if_small
 
 BLOCK = ["_len", "_t", "_i", "_seg"]
+# Choices in a block beyond which its names are spread over several tasks.
+HOT_BLOCK = 256
 
 
 def _segment(length: Column, t: Column, i: Column) -> tuple[Column, Column]:
@@ -66,6 +69,24 @@ def _name_blocks(names: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
+def _candidates(names: DataFrame, choices: DataFrame) -> DataFrame:
+    """Pairs that share a block.
+
+    Common words make some blocks large. The names of such a block are salted, and its choices
+    repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name.
+    """
+    sizes = choices.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
+    hot = if_small(sizes.where("_salts > 1"))
+    salts = F.coalesce("_salts", F.lit(1))
+    spread = names.join(hot, BLOCK, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("_name"), salts)
+    )
+    repeated = choices.join(hot, BLOCK, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+    )
+    return spread.drop("_salts").join(repeated.drop("_salts"), [*BLOCK, "_salt"])
+
+
 def best_match(
     names: DataFrame,
     name: str,
@@ -102,10 +123,9 @@ def best_match(
     rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
     longest = F.greatest(F.length("_name"), F.length("_choice"))
     near = (
-        _name_blocks(rest, cutoff)
-        .join(_choice_blocks(offered, cutoff), BLOCK)
-        .withColumn("_edits", F.levenshtein("_name", "_choice"))
-        .where("_edits <= _t")
+        _candidates(_name_blocks(rest, cutoff), _choice_blocks(offered, cutoff))
+        .withColumn("_edits", F.call_function("levenshtein", "_name", "_choice", "_t"))
+        .where("_edits >= 0")
         .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
         .groupBy(name)
         .agg(F.min(F.struct((-F.col(score)).alias("_cost"), "_match")).alias("_best"))

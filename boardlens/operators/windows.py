@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boardlens.operators.joins import if_small
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -47,51 +49,29 @@ def row_lag(
     out: str,
     split_rows: int = 4_000_000,
     grain: str = "day",
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Value ``n`` rows earlier within the key; rows with a null key are dropped.
 
-    ``order[0]`` is a date or timestamp. Keys with more than ``split_rows`` rows are cut into
-    runs of whole days (or another calendar ``grain``) of about that many rows, each run is
-    sorted in a task of its own, and the first ``n`` rows of a run take their value from the
-    tails of the runs before it. The broadcast tables hold at most ``n`` values per
-    ``split_rows`` input rows.
+    A first job counts the rows per key (in ``count_from`` if that is cheaper and holds at least
+    the same rows). Without a key of more than ``split_rows`` rows one window does. Otherwise
+    ``order[0]``, a date or timestamp, cuts those keys into runs of whole days (or another
+    calendar ``grain``) of about that many rows; each run is sorted in a task of its own, and
+    its first ``n`` rows take their value from the tails of the runs before it.
     """
     rows = df.where(F.col(key).isNotNull())
-    day = F.date_trunc(grain, F.col(order[0]))
-    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > split_rows)
-    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        rows.join(F.broadcast(hot.select(key)), key, "left_semi")
-        .groupBy(key, day.alias("_day"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_rows_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .groupBy(key, F.floor(F.col("_rows_before") / split_rows).alias("_run"))
-        .agg(F.min("_day").alias("_from"))
-    )
-    cuts = F.broadcast(
-        runs.where("_run > 0").groupBy(key).agg(F.collect_list("_from").alias("_cuts"))
-    )
-    run = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut <= day))
+    counted = rows if count_from is None else count_from.where(F.col(key).isNotNull())
+    hot = counted.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > split_rows)
+    if hot.isEmpty():
+        w = Window.partitionBy(key).orderBy(*order)
+        return rows.withColumn(out, F.lag(value, n).over(w))
 
-    tails = (
-        rows.join(cuts, key)
-        .withColumn("_run", run)
-        .withColumn("_back", F.row_number().over(_within(key, order, descending=True)))
-        .where(F.col("_back") <= n)
-        .groupBy(key, "_run")
-        .agg(F.sort_array(F.collect_list(F.struct(-F.col("_back"), F.col(value)))).alias("_tail"))
-        .select(key, "_run", F.col(f"_tail.{value}").alias("_tail"))
-    )
-    runs_in_order = Window.partitionBy(key).orderBy("_run")
-    earlier = F.concat(
-        *[
-            F.coalesce(F.lag("_tail", i).over(runs_in_order), F.slice("_tail", 1, 0))
-            for i in range(n, 0, -1)
-        ]
-    )
-    carried = F.broadcast(tails.select(key, "_run", earlier.alias("_carried")))
+    moment = F.date_trunc(grain, F.col(order[0]))
+    cuts = if_small(_run_starts(rows, hot.select(key), key, moment, split_rows))
+    run = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut <= moment))
+    carried = if_small(_carried(rows.join(cuts, key).withColumn("_run", run), key, order, value, n))
 
-    within = _within(key, order)
+    within = Window.partitionBy(key, "_run").orderBy(*order)
     missing = F.size("_carried") - n + F.col("_rn") - 1
     return (
         rows.join(cuts, key, "left")
@@ -103,6 +83,36 @@ def row_lag(
     )
 
 
-def _within(key: str, order: list[str], descending: bool = False) -> Window:
-    cols = [F.col(c).desc() if descending else F.col(c) for c in order]
-    return Window.partitionBy(key, "_run").orderBy(*cols)
+def _run_starts(
+    rows: DataFrame, hot: DataFrame, key: str, moment: Column, split_rows: int
+) -> DataFrame:
+    """(key, start moments of all runs but the first), about one per ``split_rows`` rows."""
+    before = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.join(if_small(hot), key, "left_semi")
+        .groupBy(key, moment.alias("_at"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .groupBy(key, F.floor(F.col("_before") / split_rows).alias("_run"))
+        .agg(F.min("_at").alias("_from"))
+        .where("_run > 0")
+        .groupBy(key)
+        .agg(F.collect_list("_from").alias("_cuts"))
+    )
+
+
+def _carried(rows: DataFrame, key: str, order: list[str], value: str, n: int) -> DataFrame:
+    """(key, run, up to ``n`` values that precede the run), oldest first."""
+    newest_first = [F.col(c).desc() for c in order]
+    back = F.row_number().over(Window.partitionBy(key, "_run").orderBy(*newest_first))
+    tails = (
+        rows.withColumn("_back", back)
+        .where(F.col("_back") <= n)
+        .groupBy(key, "_run")
+        .agg(F.sort_array(F.collect_list(F.struct(-F.col("_back"), F.col(value)))).alias("_tail"))
+        .select(key, "_run", F.col(f"_tail.{value}").alias("_tail"))
+    )
+    in_order = Window.partitionBy(key).orderBy("_run")
+    nothing = F.slice("_tail", 1, 0)
+    earlier = [F.coalesce(F.lag("_tail", i).over(in_order), nothing) for i in range(n, 0, -1)]
+    return tails.select(key, "_run", F.concat(*earlier).alias("_carried"))

@@ -182,7 +182,7 @@ ORDER = ["o_orderdate", "o_orderkey"]
 def _series(spark, root):
     (orders,) = read_tables(spark, root, "orders")
     roa = F.when(F.col("o_orderkey") % 11 > 0, F.col("o_totalprice") / F.lit(1e6))
-    return orders.select("o_custkey", *ORDER, roa.alias("roa")).distinct()
+    return orders.select("o_custkey", *ORDER, roa.alias("roa"))
 
 
 @query("lag_rows", LAG + """

@@ -182,10 +182,9 @@ def ceo_background(
 
 def committee_counts(committees: DataFrame, orgs: DataFrame, approximate=False) -> DataFrame:
     """Distinct committees and directors per ticker; firms without a ticker share the null one."""
-    seats = committees.select("boardid", "committeename", "directorid").distinct()
     firms = orgs.select("boardid", "ticker").distinct()
     counts = {"num_committees": "committeename", "dirs": "directorid"}
-    return distinct_counts(seats.join(firms, "boardid", "left"), ["ticker"], counts, approximate)
+    return distinct_counts(committees.join(firms, "boardid", "left"), ["ticker"], counts, approximate)
 
 
 def attendance(directors: DataFrame, year: int = YEAR, exact: bool = False) -> DataFrame:
@@ -266,10 +265,17 @@ def director_diversity(
 
 
 def last_change(
-    series: DataFrame, key: str, order: list[str], value: str, lag: int = 4, out: str = "change"
+    series: DataFrame,
+    key: str,
+    order: list[str],
+    value: str,
+    lag: int = 4,
+    out: str = "change",
 ) -> DataFrame:
-    """Per key the last known change of ``value`` against ``lag`` rows earlier."""
-    lagged = row_lag(series, key, order, value, lag, "_prev").dropna(subset=["_prev"])
+    """Per key the last known change of ``value`` against ``lag`` distinct rows earlier."""
+    rows = series.select(*dict.fromkeys([key, *order, value]))
+    lagged = row_lag(rows.distinct(), key, order, value, lag, "_prev", count_from=series)
+    lagged = lagged.dropna(subset=["_prev"])
     change = F.col(value) - F.col("_prev")
     return lagged.groupBy(key).agg(
         last_non_null(change, *[F.col(c) for c in order]).alias(out)
@@ -278,8 +284,7 @@ def last_change(
 
 def roa_change(ratios: DataFrame, lag: int = 4) -> DataFrame:
     """(ticker, roachange) as a number; rows are lagged, not calendar quarters."""
-    series = ratios.select("ticker", "qdate", "roa").distinct()
-    return last_change(series, "ticker", ["qdate", "roa"], "roa", lag, "roachange")
+    return last_change(ratios, "ticker", ["qdate", "roa"], "roa", lag, "roachange")
 
 
 def roa_change_class(changes: DataFrame) -> DataFrame:

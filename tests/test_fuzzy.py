@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from boardlens.operators import fuzzy
 from boardlens.operators.fuzzy import best_match
 
 NAMES = "name string"
@@ -75,6 +76,14 @@ def test_equals_cross_product(spark, cutoff, alphabet):
     assert blocked(spark, names, choices, cutoff) == brute(names, choices, cutoff)
 
 
+def test_hot_blocks_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "HOT_BLOCK", 3)
+    rng = random.Random(9)
+    choices = [f"university of {''.join(rng.choice('abc') for _ in range(5))}" for _ in range(50)]
+    names = [mutated(rng, rng.choice(choices), "abc ", 4) for _ in range(150)]
+    assert blocked(spark, names, choices, 80) == brute(names, choices, 80)
+
+
 def test_cases(spark):
     choices = [
         "University of Oxford", "Harvard University", "Yale University", "Duke University",
