@@ -69,22 +69,23 @@ def _name_blocks(names: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
-def _candidates(names: DataFrame, choices: DataFrame) -> DataFrame:
+def _candidates(names: DataFrame, choices: DataFrame, cutoff: int) -> DataFrame:
     """Pairs that share a block.
 
     Common words make some blocks large. The names of such a block are salted, and its choices
     repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name.
     """
-    sizes = choices.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
+    left, right = _name_blocks(names, cutoff), _choice_blocks(choices, cutoff)
+    if choices.limit(HOT_BLOCK + 1).count() <= HOT_BLOCK:
+        return left.join(right, BLOCK)
+    sizes = right.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
     hot = if_small(sizes.where("_salts > 1"))
     salts = F.coalesce("_salts", F.lit(1))
-    spread = names.join(hot, BLOCK, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64("_name"), salts)
-    )
-    repeated = choices.join(hot, BLOCK, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    )
-    return spread.drop("_salts").join(repeated.drop("_salts"), [*BLOCK, "_salt"])
+    salt = F.pmod(F.xxhash64("_name"), salts)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+    left = left.join(hot, BLOCK, "left").withColumn("_salt", salt).drop("_salts")
+    right = right.join(hot, BLOCK, "left").withColumn("_salt", every).drop("_salts")
+    return left.join(right, [*BLOCK, "_salt"])
 
 
 def best_match(
@@ -123,7 +124,7 @@ def best_match(
     rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
     longest = F.greatest(F.length("_name"), F.length("_choice"))
     near = (
-        _candidates(_name_blocks(rest, cutoff), _choice_blocks(offered, cutoff))
+        _candidates(rest, offered, cutoff)
         .withColumn("_edits", F.call_function("levenshtein", "_name", "_choice", "_t"))
         .where("_edits >= 0")
         .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
