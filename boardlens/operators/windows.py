@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlens.operators.joins import if_small
+from boardlens.sources.csvio import snapshot
+from boardlens.sources.tables import scratch
+
+MAX_RUNS = 1_000_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -57,7 +60,8 @@ def row_lag(
     the same rows). Without a key of more than ``split_rows`` rows one window does. Otherwise
     ``order[0]``, a date or timestamp, cuts those keys into runs of whole days (or another
     calendar ``grain``) of about that many rows; each run is sorted in a task of its own, and
-    its first ``n`` rows take their value from the tails of the runs before it.
+    its first ``n`` rows take their value from the last rows of the runs before it. Up to
+    ``MAX_RUNS`` runs these small tables are broadcast, beyond that they are joined by shuffle.
     """
     rows = df.where(F.col(key).isNotNull())
     counted = rows if count_from is None else count_from.where(F.col(key).isNotNull())
@@ -67,14 +71,28 @@ def row_lag(
         return rows.withColumn(out, F.lag(value, n).over(w))
 
     moment = F.date_trunc(grain, F.col(order[0]))
-    cuts = if_small(_run_starts(rows, hot.select(key), key, moment, split_rows))
-    run = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda cut: cut <= moment))
-    carried = if_small(_carried(rows.join(cuts, key).withColumn("_run", run), key, order, value, n))
+    runs = snapshot(
+        _runs(rows, hot.select(key), key, moment, n, split_rows), scratch(df.sparkSession)
+    )
+    hint = F.broadcast if runs.limit(MAX_RUNS + 1).count() <= MAX_RUNS else _no_hint
+    by_key = hint(
+        runs.groupBy(key).agg(
+            F.sort_array(F.collect_list(F.struct("_from", "_tail_from"))).alias("_runs")
+        )
+    )
+    run = F.coalesce(F.size(F.filter("_runs", lambda r: r["_from"] <= moment)), F.lit(0))
+    tail_from = F.get("_runs", F.col("_run") - 1)["_tail_from"]
+    ends = (
+        rows.join(by_key, key)
+        .withColumn("_run", run)
+        .where(F.coalesce(moment >= tail_from, F.lit(True)))
+    )
+    carried = hint(_carried(ends, key, order, value, n))
 
     within = Window.partitionBy(key, "_run").orderBy(*order)
     missing = F.size("_carried") - n + F.col("_rn") - 1
     return (
-        rows.join(cuts, key, "left")
+        rows.join(by_key, key, "left")
         .withColumn("_run", run)
         .withColumns({out: F.lag(value, n).over(within), "_rn": F.row_number().over(within)})
         .join(carried, [key, "_run"], "left")
@@ -83,26 +101,45 @@ def row_lag(
     )
 
 
-def _run_starts(
-    rows: DataFrame, hot: DataFrame, key: str, moment: Column, split_rows: int
+def _no_hint(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _runs(
+    rows: DataFrame, hot: DataFrame, key: str, moment: Column, n: int, split_rows: int
 ) -> DataFrame:
-    """(key, start moments of all runs but the first), about one per ``split_rows`` rows."""
-    before = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    """(key, run, first moment, moment from which its last ``n`` rows date).
+
+    Works on row counts per key and moment, whose number the calendar bounds.
+    """
+    earlier = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    later = (
+        Window.partitionBy(key, "_run")
+        .orderBy(F.col("_at").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    after = F.coalesce(F.sum("_n").over(later), F.lit(0))
     return (
-        rows.join(if_small(hot), key, "left_semi")
+        rows.join(hot, key, "left_semi")
         .groupBy(key, moment.alias("_at"))
         .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .groupBy(key, F.floor(F.col("_before") / split_rows).alias("_run"))
-        .agg(F.min("_at").alias("_from"))
-        .where("_run > 0")
-        .groupBy(key)
-        .agg(F.collect_list("_from").alias("_cuts"))
+        .withColumn("_run", F.floor(before / split_rows))
+        .withColumn("_after", after)
+        .groupBy(key, "_run")
+        .agg(
+            F.min("_at").alias("_from"),
+            F.min(F.when(F.col("_after") < n, F.col("_at"))).alias("_tail_from"),
+        )
+        .where(F.col("_from").isNotNull())
     )
 
 
 def _carried(rows: DataFrame, key: str, order: list[str], value: str, n: int) -> DataFrame:
-    """(key, run, up to ``n`` values that precede the run), oldest first."""
+    """(key, run, up to ``n`` values that precede the run), oldest first.
+
+    ``rows`` holds at least the last ``n`` rows of each run.
+    """
     newest_first = [F.col(c).desc() for c in order]
     back = F.row_number().over(Window.partitionBy(key, "_run").orderBy(*newest_first))
     tails = (

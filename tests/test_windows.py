@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from boardlens.operators import windows
 from boardlens.operators.windows import first_of_newest, first_per_key, row_lag
 from boardlens.plans import governance as gov
 
@@ -38,6 +39,19 @@ def test_split_lag_equals_pandas(spark, split_rows, gap):
     assert got == want
 
 
+def test_split_lag_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(windows, "MAX_RUNS", 1)
+    df = series(spark, {"hot": 60, "a": 9})
+    split = row_lag(df, "k", ["d", "i"], "v", 4, "prev", 5)
+    assert set(split.collect()) == set(row_lag(df, "k", ["d", "i"], "v", 4, "prev").collect())
+
+
+def test_undated_rows_come_first(spark):
+    df = series(spark, {"hot": 60}).withColumn("d", F.when(F.col("i") > 9, F.col("d")))
+    split = row_lag(df, "k", ["d", "i"], "v", 4, "prev", 5)
+    assert set(split.collect()) == set(row_lag(df, "k", ["d", "i"], "v", 4, "prev").collect())
+
+
 def test_lag_columns(spark):
     out = row_lag(series(spark, {"a": 6}), "k", ["d"], "v", 1, "before")
     assert out.columns == ["k", "d", "i", "v", "before"]
