@@ -57,7 +57,7 @@ def firm_rollup(spark, root):
 
 
 @query("distinct_counts_left", """
-SELECT o_custkey, count(DISTINCT l_partkey) AS num_committees, count(DISTINCT l_suppkey) AS dirs
+SELECT o_custkey::VARCHAR AS ticker, count(DISTINCT l_partkey) AS num_committees, count(DISTINCT l_suppkey) AS dirs
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P'
 GROUP BY o_custkey
 """)
@@ -66,7 +66,8 @@ def distinct_counts_left(spark, root):
     settled = orders.where("o_orderstatus <> 'P'")
     joined = lineitem.join(settled, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     counts = {"num_committees": "l_partkey", "dirs": "l_suppkey"}
-    return aggregates.distinct_counts(joined, ["o_custkey"], counts)
+    firms = joined.withColumn("ticker", F.col("o_custkey").cast("string"))
+    return aggregates.distinct_counts(firms, ["ticker"], counts)
 
 
 ATTENDANCE = """
@@ -217,14 +218,14 @@ SELECT o_custkey,
        CAST(CASE WHEN change <= -0.10e0 THEN 0 WHEN change <= -0.03e0 THEN 1
                  WHEN change <= 0.0e0 THEN 2 WHEN change <= 0.01e0 THEN 3
                  WHEN change <= 0.02e0 THEN 4 WHEN change <= 0.10e0 THEN 5
-                 WHEN change > 0.10e0 THEN 6 END AS INTEGER) AS bin
+                 WHEN change > 0.10e0 THEN 6 END AS DOUBLE) AS bin
 FROM rounded
 """)
 def bin_labels(spark, root):
     change = last_change(_series(spark, root), "o_custkey", ORDER, "roa", 4, "change")
     label = label_bins(F.round(F.col("change") + 1e-9, 2))
     return change.select("o_custkey", label.alias("roachange")).withColumn(
-        "bin", bin_number(F.col("roachange"))
+        "bin", bin_number(F.col("roachange")).cast("double")
     )
 
 

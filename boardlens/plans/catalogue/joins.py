@@ -31,7 +31,7 @@ def distinct_group(spark, root):
 
 @query("null_safe_left", """
 WITH c AS (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer),
-     s AS (SELECT nullif(c_mktsegment, 'BUILDING') AS segment, count(*) AS firms,
+     s AS (SELECT nullif(c_mktsegment, 'BUILDING') AS segment, count(*)::DOUBLE AS firms,
                   round(avg(c_acctbal) + 1e-7, 4) AS balance
            FROM customer WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1)
 SELECT c_custkey, c.segment AS segment, firms, balance
@@ -43,7 +43,7 @@ def null_safe_join(spark, root):
     per_segment = (
         customer.where("c_mktsegment <> 'FURNITURE'")
         .groupBy(segment)
-        .agg(F.count("*").alias("firms"), F.round(F.avg("c_acctbal") + 1e-7, 4).alias("balance"))
+        .agg(F.count("*").cast("double").alias("firms"), F.round(F.avg("c_acctbal") + 1e-7, 4).alias("balance"))
     )
     return null_safe_left(customer.select("c_custkey", segment), per_segment, ["segment"])
 

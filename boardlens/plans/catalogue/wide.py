@@ -78,6 +78,10 @@ WITH companies AS (
 )
 """
 
+COUNTS = ["num_committees", "dirs", "over75_pct", "num_meetings"]
+COUNTS_SQL = ", ".join(f"{c}::DOUBLE AS {c}" for c in COUNTS)
+BOARD_FLAG_SQL = "diversity_board::INTEGER::DOUBLE AS diversity_board"
+
 UNIVERSITIES = """
 , universities AS (
   SELECT name, avg(CASE WHEN contains(s, '-')
@@ -318,6 +322,11 @@ def _rounded(df, *cols, places=6):
     return df.withColumns({c: F.round(c, places) for c in cols})
 
 
+def _as_double(df, *cols):
+    """Columns that may be null as doubles, so that any client shows them alike."""
+    return df.withColumns({c: F.col(c).cast("int").cast("double") for c in cols})
+
+
 def _ceo(t):
     universities = gov.universities(t["rankings"])
     return gov.ceo_background(
@@ -354,14 +363,18 @@ def ceo_background(spark, root):
     return _rounded(_ceo(sources(spark, root)), "uniscoreavg")
 
 
-@query("board_structure", SOURCES + BOARD + "SELECT * FROM board_v0")
+@query("board_structure", SOURCES + BOARD + f"SELECT * REPLACE ({COUNTS_SQL}) FROM board_v0")
 def board_structure(spark, root):
-    return _rounded(_board(sources(spark, root)), "avg_meetings")
+    return _as_double(_rounded(_board(sources(spark, root)), "avg_meetings"), *COUNTS)
 
 
-@query("director_diversity", SOURCES + DIVERSITY + "SELECT * FROM div_v0")
+@query(
+    "director_diversity",
+    SOURCES + DIVERSITY + f"SELECT * REPLACE ({BOARD_FLAG_SQL}) FROM div_v0",
+)
 def director_diversity(spark, root):
-    return _rounded(_diversity(sources(spark, root)), "female_pct", "shannon")
+    rounded = _rounded(_diversity(sources(spark, root)), "female_pct", "shannon")
+    return _as_double(rounded, "diversity_board")
 
 
 @query("roa_change", SOURCES + ROA + """
@@ -373,9 +386,12 @@ def roa_change(spark, root):
     return gov.roa_change_class(labelled)
 
 
-@query("full_assembly", WIDE + "SELECT * FROM full_v0")
+@query(
+    "full_assembly", WIDE + f"SELECT * REPLACE ({COUNTS_SQL}, {BOARD_FLAG_SQL}) FROM full_v0"
+)
 def full_assembly(spark, root):
-    return _rounded(wide(spark, root), "uniscoreavg", "female_pct", "shannon", "avg_meetings")
+    full = _rounded(wide(spark, root), "uniscoreavg", "female_pct", "shannon", "avg_meetings")
+    return _as_double(full, *COUNTS, "diversity_board")
 
 
 def _scaled_sql():

@@ -19,6 +19,13 @@ def pull(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(sql, **tables)
 
 
+def attach(spark: SparkSession, table: str, path: str, source: str = "parquet") -> None:
+    """Make files known as ``schema.table``, so that SQL texts may name them like a warehouse."""
+    if "." in table:
+        spark.sql("CREATE NAMESPACE IF NOT EXISTS IDENTIFIER(:s)", {"s": table.rsplit(".", 1)[0]})
+    spark.catalog.createTable(table, path=path, source=source)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

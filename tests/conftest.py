@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     }
     os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--master local[8] pyspark-shell")
     session = build("tests", **settings)

@@ -87,6 +87,20 @@ def test_pull(spark):
     assert tables.pull(spark, "SELECT count(*) AS n FROM {t} WHERE id > 1", t=df).first()["n"] == 3
 
 
+def test_attached_tables_serve_warehouse_sql(spark, tmp_path):
+    rows = [("A", 2023.0, "Yes"), ("A", 2023.0, None), ("B", 2023.0, "No"), ("B", 2022.0, "Yes")]
+    df = spark.createDataFrame(rows, "ticker string, year double, attend_less75_pct string")
+    df.write.parquet(str(tmp_path / "directors"))
+    tables.attach(spark, "risk_data.directors", str(tmp_path / "directors"))
+    sql = """
+        WITH t AS (SELECT ticker, CASE WHEN attend_less75_pct = 'Yes' THEN 0 ELSE 1 END AS attend
+                   FROM risk_data.directors WHERE year = 2023.0)
+        SELECT ticker, sum(attend) div count(attend) AS share FROM t GROUP BY ticker"""
+    assert {tuple(r) for r in tables.pull(spark, sql).collect()} == {("A", 0), ("B", 1)}
+    spark.sql("DROP TABLE risk_data.directors")
+    spark.sql("DROP NAMESPACE risk_data")
+
+
 def test_scratch_uses_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = tables.scratch(spark), tables.scratch(spark)
