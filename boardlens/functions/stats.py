@@ -6,12 +6,18 @@ They run on one row per model, after all data has been aggregated.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+# Executors get these functions themselves, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def beta_inc(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta function (DLMF 8.17.22, evaluated from the last term)."""
     if x <= 0.0:

@@ -134,16 +134,16 @@ def flag_share(spark, root):
 
 
 @query("keyword_any", """
-SELECT n_chars % 97 AS bucket,
+SELECT source || '/' || lang AS ticker,
        CAST(bool_or(coalesce(regexp_matches(text, '(?i)licen|secret|apache'), FALSE)) AS INTEGER)
          AS diversity_board
 FROM documents GROUP BY 1
 """)
 def keyword_any(spark, root):
     (documents,) = read_tables(spark, root, "documents")
-    bucketed = documents.select((F.col("n_chars") % 97).alias("bucket"), "text")
+    firms = documents.select(F.concat_ws("/", "source", "lang").alias("ticker"), "text")
     named = matches_ci(F.col("text"), "licen|secret|apache")
-    any_named = aggregates.any_true(bucketed, "bucket", named, "diversity_board")
+    any_named = aggregates.any_true(firms, "ticker", named, "diversity_board")
     return any_named.withColumn("diversity_board", F.col("diversity_board").cast("int"))
 
 

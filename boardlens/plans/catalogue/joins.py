@@ -9,6 +9,7 @@ from boardlens.operators.features import complete_rows
 from boardlens.operators.fuzzy import best_match
 from boardlens.operators.joins import (
     flag_matching,
+    if_small,
     inner_on,
     keep_matching,
     null_safe_left,
@@ -45,7 +46,8 @@ def null_safe_join(spark, root):
         .groupBy(segment)
         .agg(F.count("*").cast("double").alias("firms"), F.round(F.avg("c_acctbal") + 1e-7, 4).alias("balance"))
     )
-    return null_safe_left(customer.select("c_custkey", segment), per_segment, ["segment"])
+    firms = customer.select("c_custkey", segment)
+    return null_safe_left(firms, if_small(per_segment), ["segment"])
 
 
 @query("suffix_join", """

@@ -433,6 +433,15 @@ def label_encode(spark, root):
     return indexed.select("c_custkey", F.col("label").cast("int").alias("label"))
 
 
+@query("label_decode", "SELECT o_orderkey, o_orderpriority AS label FROM orders")
+def label_decode(spark, root):
+    (orders,) = read_tables(spark, root, "orders")
+    labels = features.fit_labels(orders, "o_orderpriority", "prediction")
+    indexed = labels.transform(orders).select("o_orderkey", "prediction")
+    decoded = features.labels_back(labels, "prediction", "label").transform(indexed)
+    return decoded.drop("prediction")
+
+
 @query("argmax_label", """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS label
 FROM embeddings

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 
 import pytest
 
-from boardlens.functions.stats import beta_inc, f_tail, t_tail
+from boardlens.functions.stats import beta_inc, f_tail, t_tail, t_upper
 from boardlens.operators import compare
 
 # Mean and sample deviation of 100 recorded accuracies per network.
@@ -108,3 +110,19 @@ def test_report(spark):
     rows = {r["model"]: r for r in compare.report(runs(spark, RECORDED)).collect()}
     assert [m for m, r in rows.items() if r["chosen"]] == ["cnn_model_4"]
     assert all(r["significant"] and r["rule"] == "welch" for r in rows.values())
+
+
+def test_tails_travel_without_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    path = tmp_path / "f.pkl"
+    path.write_bytes(cloudpickle.dumps(t_upper.func))
+    code = (
+        "import pandas as pd, pickle, pyspark\n"
+        f"f = pickle.load(open({str(path)!r}, 'rb'))\n"
+        "print(round(f(pd.Series([1.0]), pd.Series([1.0]))[0], 6))\n"
+    )
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert out.stdout.strip().endswith("0.25")
