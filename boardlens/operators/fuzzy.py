@@ -75,7 +75,10 @@ def _candidates(names: DataFrame, choices: DataFrame, cutoff: int) -> DataFrame:
     Common words make some blocks large. The names of such a block are salted, and its choices
     repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name.
     """
-    left, right = _name_blocks(names, cutoff), _choice_blocks(choices, cutoff)
+    # Few bytes of names make many candidates: keep adaptive execution from merging them.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = _name_blocks(names.repartition(tasks, "_name"), cutoff)
+    right = _choice_blocks(choices, cutoff)
     if choices.limit(HOT_BLOCK + 1).count() <= HOT_BLOCK:
         return left.join(right, BLOCK)
     sizes = right.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
