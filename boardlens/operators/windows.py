@@ -28,6 +28,7 @@ def first_of_newest(
 
     The newest row of a key is the one with the largest ``newest`` (null last), then the first
     in ``order``. Two map-side-combined aggregates, so neither key nor group needs one task.
+    All columns of ``df`` travel along; select the wanted ones first.
     """
     rank = F.struct(F.col(newest).isNull(), -F.col(newest), *order)
     rest = [c for c in df.columns if c != key]

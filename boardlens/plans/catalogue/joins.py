@@ -117,13 +117,11 @@ SELECT o_custkey, o_orderkey, o_orderpriority FROM mine WHERE pos = 1
 """)
 def latest_then_first(spark, root):
     (orders,) = read_tables(spark, root, "orders")
-    rows = orders.withColumns(
-        {"_started": F.year("o_orderdate"), "_key": F.struct("o_orderkey")}
+    rows = orders.select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("started")
     )
-    picked = first_of_newest(
-        rows, "o_custkey", "o_orderpriority", "_started", ["_key"]
-    )
-    return picked.select("o_orderkey", "o_custkey", "o_orderpriority")
+    picked = first_of_newest(rows, "o_custkey", "o_orderpriority", "started", ["o_orderkey"])
+    return picked.drop("started")
 
 
 @query("fuzzy_best_match", """
