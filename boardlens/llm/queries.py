@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boardlens.llm.common import table
+from boardlens.llm.host_reputation import judge
+from boardlens.llm.language_id import fit_languages, identify
 from boardlens.llm.near_minhash import near_duplicates
+from boardlens.llm.near_vectors import near_vectors
+from boardlens.llm.quality import fit_quality, score_quality
+from boardlens.llm.secret_scan import digest, secrets
+from boardlens.llm.topk import quantised, top_k
+from boardlens.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +35,58 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op7_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op1_topk_maxscore",
+    """
+    WITH v AS (
+        SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+    ), s AS (
+        SELECT a.vec_id AS query_id, b.vec_id,
+               CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+    )
+    SELECT query_id,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s QUALIFY rank <= 20
+    """,
+)
+def topk_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quantised(table(spark, sf_dir, "embeddings"))
+    return top_k(rows, rows.filter("id % 20 = 0"), 20)
+
+
+@query("op5_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document is a repository, each source an owner."""
+    return digest(secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs, fit_languages(docs))
+
+
+@query("op9_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op10_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
