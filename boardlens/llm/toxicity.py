@@ -1,13 +1,13 @@
 """Toxicity by a gap-weighted subsequence kernel, Nystroem landmarks and a support vector machine.
 
-A span is a token of a sentence, a run of single characters ("x y z"), or a window of a long token. The
-kernel of two spans sums decay**length over all triples of characters that occur in both in order within
+A span is a token of a sentence, a run of single characters ("x y z"), or a window of a long token. Marks
+at a token's ends count as characters. The kernel of two spans sums decay**length over all triples of characters that occur in both in order within
 SPAN places, so inserted or left-out characters lower it only a little. It is normalised by the triples of
 letters and digits, hence signs put between letters hardly count. A sentence scores as its best span and a
 text as its best sentence.
 
 Training is by multiple instances: the sentences of a labelled text share its label, and of a toxic text
-only the sentence that scores best is taken to be toxic, which is chosen anew in each round. Landmarks are
+only the few sentences that score best are taken to be toxic, which are chosen anew in each round. Landmarks are
 the strings most typical of toxic texts and the most frequent clean spans. The fitted function is a
 sum over triples, so scoring needs one table of triples, not the landmarks.
 """
@@ -37,9 +37,13 @@ BATCH = 20_000
 MEMORY = 400_000
 CHARACTERS = 1_000_000
 #: Toxic and clean landmarks; toxic ones have one of LENGTHS and a kernel below APART with each other.
-LANDMARKS = (64, 32)
+LANDMARKS = (96, 32)
 LENGTHS = (4, 5, 6)
 APART = 0.7
+#: Sentences of a toxic text that are taken to be toxic: the best ones.
+WITNESSES = 3
+#: Marks of a token's ends, which count as letters: short tokens differ from the strings inside long ones.
+EDGES = "\x02\x03"
 _GAPS = [(i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN)]
 
 
@@ -48,17 +52,20 @@ def spans(text: str | None) -> set[str]:
     if not text:
         return set()
     low = text.lower()
-    found = set(low.split())
-    long = [t for t in found if len(t) > WINDOW]
-    for t in [*long, *SPACED.findall(low)]:
+    found = set()
+    for t in {*low.split(), *SPACED.findall(low)}:
+        t = EDGES[0] + t + EDGES[1]
         if len(t) > WINDOW:
-            found.discard(t)
             found.update(t[i : i + WINDOW] for i in range(0, len(t) - WINDOW + STRIDE, STRIDE))
         else:
             found.add(t)
     return found
 
 
+def _letter(c: str) -> bool:
+    return c.isalnum() or c in EDGES
+
+
 def _triples(batch: list[str], letters: dict[str, int]):
     """Yields (span numbers, triple codes, weight); code 0 stands for any triple with another character.
 
@@ -70,7 +77,7 @@ def _triples(batch: list[str], letters: dict[str, int]):
     kinds, which = np.unique(points, return_inverse=True)
     chars = [chr(k) for k in kinds]
     code = np.array([letters.get(c, 0) for c in chars] or [0], np.int64)[which]
-    word = np.array([c.isalnum() for c in chars] or [False])[which]
+    word = np.array([_letter(c) for c in chars] or [False])[which]
     base, norm, parts = len(letters) + 1, np.zeros(len(batch)), []
     for i, j in _GAPS:
         n = len(points) - j
@@ -86,7 +93,7 @@ def _triples(batch: list[str], letters: dict[str, int]):
 
 
 def _alphabet(texts: list[str]) -> dict[str, int]:
-    common = Counter(c for t in texts for c in t if c.isalnum()).most_common(ALPHABET)
+    common = Counter(c for t in texts for c in t if _letter(c)).most_common(ALPHABET)
     return {c: i + 1 for i, (c, _) in enumerate(sorted(common))}
 
 
@@ -138,7 +145,7 @@ class ToxicityModel:
 
 def _strings(bag: list[str]) -> set[str]:
     """Distinct parts of a text's spans that may become landmarks."""
-    return {t[i : i + n] for t in bag for n in LENGTHS for i in range(len(t) - n + 1) if t[i : i + n].isalnum()}
+    return {t[i : i + n] for t in bag for n in LENGTHS for i in range(len(t) - n + 1) if t[i : i + n].strip(EDGES).isalnum()}
 
 
 def _typical(bags: list[list[str]], positive: np.ndarray) -> tuple[list[str], np.ndarray, list[str]]:
@@ -147,23 +154,29 @@ def _typical(bags: list[list[str]], positive: np.ndarray) -> tuple[list[str], np
     for bag, p in zip(bags, positive, strict=True):
         (pos if p else neg).update(_strings(bag))
         if not p:
-            words.update(s for s in bag if sum(c.isalnum() for c in s) >= 3)
+            words.update(s for s in bag if len(s) >= 5)
     n_pos, n_neg = positive.sum(), (~positive).sum()
 
     def typical(s: str) -> float:
         return pos[s] * float(np.log((pos[s] + 0.5) / (n_pos + 1)) - np.log((neg[s] + 0.5) / (n_neg + 1)))
 
     worth = {s: typical(s) for s in pos}
-    ranked = sorted((s for s in pos if worth[s] > 0), key=lambda s: (-worth[s], -len(s), s))[: 20 * LANDMARKS[0]]
-    chosen, near = [], np.zeros(len(ranked))
-    for i, s in enumerate(ranked):
-        if near[i] < APART:
-            chosen.append(s)
-            near = np.maximum(near, Kernel([s])(ranked)[:, 0])
-        if len(chosen) == LANDMARKS[0]:
-            break
+    ranked = sorted((s for s in pos if worth[s] > 0), key=lambda s: (-worth[s], -len(s), s))[: 40 * LANDMARKS[0]]
+    place, toxic_bags = {s: i for i, s in enumerate(ranked)}, [b for b, p in zip(bags, positive, strict=True) if p]
+    holds = np.zeros((len(ranked), len(toxic_bags)), np.float32)
+    for d, bag in enumerate(toxic_bags):
+        holds[[place[s] for s in _strings(bag) if s in place], d] = 1
+    # texts that chosen landmarks cover count less and less, so that rare kinds get theirs
+    odds = np.array([worth[s] / pos[s] for s in ranked])
+    chosen, near, left = [], np.zeros(len(ranked)), np.ones(len(toxic_bags), np.float32)
+    while len(chosen) < LANDMARKS[0] and (near < APART).any():
+        i = int(np.where(near < APART, (holds @ left) * odds, -1).argmax())
+        chosen.append(ranked[i])
+        left[holds[i] > 0] *= 0.7
+        near = np.maximum(near, Kernel([ranked[i]])(ranked)[:, 0])
+        near[i] = 1
     clean = sorted(words, key=lambda s: (-words[s], s))[: LANDMARKS[1]]
-    return chosen, np.array([worth[s] for s in chosen]), clean
+    return chosen, np.array([worth[s] / pos[s] for s in chosen]), clean
 
 
 def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 25) -> tuple[np.ndarray, float]:
@@ -196,12 +209,14 @@ def fit_toxicity(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = map_rows(rows.select("doc_id", "label", "weight", "text"), "spans array<string>", start, ["doc_id", "label", "weight"]).collect()
     sample.sort(key=lambda r: (r.doc_id, r.label, r.spans))
-    bags = [r.spans for r in sample]
     positive = np.array([r.label == "1" for r in sample], bool)
-    weight = np.array([r.weight for r in sample], float)
+    return fit_bags([r.spans for r in sample], positive, np.array([r.weight for r in sample], float), part_of([r.doc_id for r in sample]), rounds)
+
+
+def fit_bags(bags: list[list[str]], positive: np.ndarray, weight: np.ndarray, part: np.ndarray, rounds: int = 4) -> ToxicityModel:
+    """The model of labelled texts given as their spans; texts of part 0 set the probabilities."""
     if len(set(positive)) < 2:
         return ToxicityModel({}, np.empty(0), 0.0, *platt(np.zeros(len(bags)), positive, weight))
-    part = part_of([r.doc_id for r in sample])
     fits = part != 0
     if len(set(positive[fits])) < 2 or len(set(positive[~fits])) < 2:
         fits = np.ones(len(bags), bool)
@@ -222,18 +237,21 @@ def fit_toxicity(
         z[k : k + BATCH], score[k : k + BATCH] = close @ root, (close[:, : len(toxic)] * worth).max(axis=1)
     inside = [np.array([place[s] for s in bags[i]]) for i in train]
     toxic_rows = [b for b, i in zip(inside, train, strict=True) if positive[i]]
-    clean = np.unique(np.concatenate([np.empty(0, int), *(b for b, i in zip(inside, train, strict=True) if not positive[i])]))
+    clean_rows = [b for b, i in zip(inside, train, strict=True) if not positive[i]]
+    held = np.bincount(np.concatenate(clean_rows or [np.empty(0, int)]), minlength=len(names)) / max(1, len(clean_rows))
+    clean = np.flatnonzero(held)
+    # what clean texts hold half as often as toxic ones, or more, is no witness
+    common = held >= 0.5 * np.bincount(np.concatenate(toxic_rows), minlength=len(names)) / len(toxic_rows)
     w, bias = np.zeros(z.shape[1]), 0.0
     for _ in range(rounds):
-        witness = np.unique([b[score[b].argmax()] for b in toxic_rows])
-        unseen = witness[~np.isin(witness, clean)]
-        witness = unseen if len(unseen) else witness
+        able = np.where(common, -np.inf, score)
+        best = np.concatenate([b[np.argsort(-able[b], kind="stable")[:WITNESSES]] for b in toxic_rows])
+        witness, times = np.unique(best[np.isfinite(able[best])], return_counts=True)
         hard = clean[np.argsort(-score[clean], kind="stable")]
         hard = np.concatenate([hard[:BATCH], hard[BATCH :: 1 + len(hard) // BATCH]])
         at = np.concatenate([witness, hard])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(hard))])
-        share = np.concatenate([np.full(len(witness), 1 / len(witness)), np.full(len(hard), 1 / max(1, len(hard)))])
-        w, bias = _hinge(z[at], y, share)
+        w, bias = _hinge(z[at], y, np.concatenate([times / len(toxic_rows), held[hard]]))
         score = z @ w + bias
     # the kernel's landmarks and the triples' table give the same function
     letters, base = kernel.letters, len(kernel.letters) + 1
