@@ -48,13 +48,13 @@ def held_out(doc_id: Column) -> Column:
 def map_rows(
     df: DataFrame,
     schema: str,
-    start: Callable[[], Callable[[dict], list]],
+    start: Callable[[], Callable[["_Columns"], Iterable[pa.Array]]],
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Rows made from each Arrow batch.
 
-    ``start`` runs once in each task and returns a function from the batch's other columns (texts
-    as lists) to the new columns in the order of ``schema``; those in ``keep`` come first, as they are.
+    ``start`` runs once in each task and returns a function from the batch's columns to the new ones
+    in the order of ``schema``; the columns in ``keep`` come first, as they are.
     """
     keep = list(keep)
     kept = df.select(*keep).schema if keep else None
@@ -63,10 +63,7 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
         for batch in batches:
-            columns = {n: c for n, c in zip(batch.schema.names, batch.columns, strict=True)}
-            new = make({n: _python(c) for n, c in columns.items() if n not in keep})
-            arrays = [columns[k] for k in keep] + [x if isinstance(x, pa.Array) else pa.array(x) for x in new]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), *make(_Columns(batch))], names=names)
 
     full = schema if kept is None else ", ".join(
         [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields), schema]
@@ -74,8 +71,15 @@ def map_rows(
     return df.mapInArrow(run, full)
 
 
-def _python(column: pa.Array):
-    return column.to_pylist() if pa.types.is_string(column.type) or pa.types.is_binary(column.type) else column
+class _Columns:
+    """Columns of a batch by name, read when asked for: texts and bytes as lists, others as arrays."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.batch = batch
+
+    def __getitem__(self, name: str):
+        column = self.batch.column(name)
+        return column.to_pylist() if pa.types.is_string(column.type) or pa.types.is_binary(column.type) else column
 
 
 def _top_level(schema: str) -> list[str]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.llm import ftrl
-from boardlens.llm.common import map_rows, written
+from boardlens.llm.common import map_rows, remove, written
 from boardlens.llm.fitting import labelled_sample, part_of
 from boardlens.llm.ngrams import Marker
 
@@ -76,22 +76,22 @@ def fit_domains(
 
 
 def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in ``keep``, tokens (words) and p: array of the domains' probabilities in steps of 1 / GRAIN."""
+    """The columns in ``keep``, __tokens (words) and __p: the domains' probabilities in steps of 1 / GRAIN."""
 
     def start():
         marker = Marker(ORDERS, BITS)
 
         def make(columns):
             tokens, p = [], []
-            for t in columns["__text"]:
+            for t in columns[text]:
                 tokens.append(len(t.split()) if t else 0)
                 p.append(_rounded(model.posterior(marker(t or ""))))
             return pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))
 
         return make
 
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    return map_rows(rows, "tokens long, p array<double>", start, keep)
+    rows = docs.select(*dict.fromkeys([*keep, text]))
+    return map_rows(rows, "__tokens long, __p array<double>", start, keep)
 
 
 def _rounded(p: np.ndarray) -> list[float]:
@@ -109,10 +109,10 @@ def rate(p: Column, steps: list[list[float]], floor: float) -> Column:
     moves = F.array(*[F.array(*map(F.lit, s)) for s in steps])
 
     def move(r: Column, step: Column) -> Column:
-        gain = F.aggregate(F.arrays_zip(p.alias("p"), step.alias("s")), F.lit(0.0), lambda a, x: a + x["p"] * x["s"])
-        return F.greatest(F.lit(floor), r + gain)
+        gain = F.aggregate(F.zip_with(p, step, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+        return F.greatest(F.lit(float(floor)), r + gain)
 
-    return F.aggregate(moves, F.lit(max(1.0, floor)), move)
+    return F.aggregate(moves, F.lit(max(1.0, float(floor))), move)
 
 
 @dataclass
@@ -123,8 +123,9 @@ class Mixture:
     targets: list[float]
     totals: list[float]
 
-    def rates(self, members: DataFrame) -> DataFrame:
-        return members.withColumn("rate", rate(F.col("p"), self.steps, self.floor))
+    def rate(self) -> Column:
+        """Rate of a row of ``memberships``."""
+        return rate(F.col("__p"), self.steps, self.floor)
 
 
 def fit_rates(
@@ -139,66 +140,80 @@ def fit_rates(
     aim = np.array([float(targets.get(d, 0.0)) for d in domains])
     cells = written(members.filter("tokens > 0").groupBy("p").agg(F.sum("tokens").alias("tokens")))
     item = lambda i: F.element_at("p", i + 1)
-    moments = cells.agg(
-        *[F.sum(F.col("tokens") * item(i) * item(j)).alias(f"m{i}_{j}") for i in range(size) for j in range(i, size)]
-    ).first()
-    if moments[0] is None:
-        return Mixture(domains, [], floor, aim.tolist(), [0.0] * size)
-    m = np.zeros((size, size))
-    for i in range(size):
-        for j in range(i, size):
-            m[i, j] = m[j, i] = moments[f"m{i}_{j}"]
-    # gradient of the squared distance in the metric of m: steps of like length for rare and common domains
-    metric = np.linalg.pinv(m, rcond=1e-9)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
     steps: list[list[float]] = []
 
-    def totals() -> np.ndarray:
-        r = rate(F.col("p"), steps, floor)
-        got = cells.agg(*[F.sum(F.col("tokens") * r * item(i)) for i in range(size)]).first()
-        return np.array([float(x) for x in got])
-
-    now, scale = totals(), 1.0
-    while np.abs(now - aim).max() > tolerance * aim.sum() and len(steps) < max_steps:
+    def state(every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Expected totals, and the second moments of the documents above the floor, or of all."""
+        r = cells.withColumn("r", rate(F.col("p"), steps, floor))
+        free = F.when(F.lit(every) | (F.col("r") > floor), F.col("tokens")).otherwise(0)
+        got = r.agg(
+            *[F.sum(F.col("tokens") * F.col("r") * item(i)) for i in range(size)], *[F.sum(free * item(i) * item(j)) for i, j in pairs]
+        ).first()
+        moments = np.zeros((size, size))
+        for k, (i, j) in enumerate(pairs):
+            moments[i, j] = moments[j, i] = got[size + k] or 0.0
+        return np.array([float(x or 0) for x in got[:size]]), moments
+
+    (now, moments), scale, stuck = state(every=True), 1.0, 0
+    # domains without documents get a small moment, so that the inverse exists
+    total = moments + (1e-6 * np.trace(moments) + 1e-12) * np.eye(size)
+    while np.abs(now - aim).max() > tolerance * aim.sum() and now.any() and len(steps) < max_steps and stuck < 8:
+        # the gradient in the metric of the free documents: steps of like length for rare and common domains
+        metric = np.linalg.inv(moments + 1e-3 * total)
         steps.append((scale * metric @ (aim - now)).tolist())
-        after = totals()
-        if np.abs(after - aim).sum() > np.abs(now - aim).sum():
+        after, free = state()
+        if np.linalg.norm(after - aim) >= np.linalg.norm(now - aim) * (1 - 1e-6):
             steps.pop()
-            scale /= 2
-            if scale < 1e-3:
-                break
-            continue
-        now = after
+            scale, stuck = scale / 4, stuck + 1
+            moments = (moments + total) / 2
+        else:
+            now, moments, scale, stuck = after, free, min(1.0, scale * 2), 0
+    remove(cells)
     return Mixture(domains, steps, floor, aim.tolist(), now.tolist())
 
 
-def repeats(rate_: Column, *key: str) -> Column:
+def repeats(rate_: Column, key: Column) -> Column:
     """Whole copies of a rate: its integer part, and one more with the probability of the rest, by a hash of ``key``."""
-    u = F.pmod(F.xxhash64(*key, F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    u = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return (F.floor(rate_) + (u < rate_ - F.floor(rate_)).cast("long")).cast("int")
 
 
-def mix(
-    docs: DataFrame, labelled: DataFrame, shares: dict[str, float], floor: float = 0.0, total: float | None = None,
-    doc_id: str = "doc_id", text: str = "text", max_rows: int = 3000,
-) -> tuple[DataFrame, Mixture]:
-    """(one row per row with tokens, p and rate beside the columns of ``docs`` except text; the mixture).
+def fit_mixture(
+    docs: DataFrame, model: DomainModel, shares: dict[str, float], floor: float = 0.0, total: float | None = None, text: str = "text"
+) -> Mixture:
+    """Rates at which the domains' expected tokens have the given shares.
 
-    shares: weights of domains, which are made to add up to one; a labelled domain that they leave out is
-    aimed at as far as its tokens go now. ``total``: expected tokens aimed at, or all tokens there are.
-    Null and empty texts have no tokens and a rate like their probabilities. An empty table gives none.
+    Shares are made to add up to one over the domains there are; a domain that they leave out keeps its
+    part of the tokens. ``total``: expected tokens aimed at; without it all tokens there are or, with a
+    floor, as many more as let every share be met without going below it.
+    """
+    members = written(memberships(docs, model, text, ()).select(F.col("__tokens").alias("tokens"), F.col("__p").alias("p")))
+    sums = [F.sum(F.col("tokens") * F.element_at("p", i + 1)) for i in range(len(model.domains))]
+    got = members.agg(F.sum("tokens"), *sums).first()
+    there = {d: float(got[i + 1] or 0) for i, d in enumerate(model.domains)}
+    known = {d: s for d, s in shares.items() if d in there and there[d] > 0}
+    every = float(got[0] or 0)
+    rest = sum(n for d, n in there.items() if d not in known)
+    scale = sum(known.values()) or 1.0
+    part = {d: (1 - rest / every) * known[d] / scale if d in known else n / every for d, n in there.items()} if every else {}
+    size = total if total is not None else max([every, *(floor * there[d] / s for d, s in part.items() if s)])
+    mixture = fit_rates(members, model.domains, {d: size * s for d, s in part.items()}, floor)
+    remove(members)
+    return mixture
+
+
+def mixed(docs: DataFrame, model: DomainModel, mixture: Mixture, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with every row as often as its rate says: whole copies, and one more by chance for the rest.
+
+    The chance is a hash of the id (of the text, where there is none), so it is the same in every run. Null
+    and empty texts have no tokens and the rate of their probabilities. An empty table stays empty.
     """
-    model = fit_domains(docs, labelled, doc_id, text, max_rows=max_rows)
-    keep = tuple(c for c in docs.columns if c != text)
-    members = written(memberships(docs, model, text, keep))
-    return members, fit_rates(members, model.domains, _targets(members, model.domains, shares, total), floor)
-
-
-def _targets(members: DataFrame, domains: list[str], shares: dict[str, float], total: float | None) -> dict[str, float]:
-    got = members.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.element_at("p", i + 1)) for i in range(len(domains))]).first()
-    there = float(got[0] or 0)
-    known = {d: s for d, s in shares.items() if d in domains}
-    left = {d: float(got[i + 1] or 0) / there if there else 0.0 for i, d in enumerate(domains) if d not in known}
-    weight = sum(known.values()) or 1.0
-    room = max(0.0, 1 - sum(left.values()))
-    size = total if total is not None else there
-    return {**{d: size * s / weight * room for d, s in known.items()}, **{d: size * s for d, s in left.items()}}
+    members = memberships(docs, model, text, tuple(docs.columns)).withColumn("__rate", mixture.rate())
+    key = F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit(""))
+    return (
+        members.withColumn("__copies", repeats(F.col("__rate"), key))
+        .filter(F.col("__copies") > 0)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        .select(*docs.columns)
+    )

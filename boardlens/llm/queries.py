@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlens.llm.common import table
 from boardlens.llm.host_reputation import judge
 from boardlens.llm.language_id import fit_languages, identify
+from boardlens.llm.mixing import fit_domains, fit_mixture, memberships, repeats
 from boardlens.llm.near_minhash import near_duplicates
 from boardlens.llm.near_vectors import near_vectors
+from boardlens.llm.packing import pack
 from boardlens.llm.quality import fit_quality, score_quality
 from boardlens.llm.secret_scan import digest, secrets
 from boardlens.llm.topk import quantised, top_k
@@ -90,3 +93,96 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op2_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains are the kinds of labelled documents; rates move the corpus to 85 % good tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_domains(docs, domains_of(table(spark, sf_dir, "labels")))
+    mixture = fit_mixture(docs, model, {"good": 0.85, "poor": 0.1, "toxic": 0.05})
+    rows = memberships(docs, model).withColumn("rate", mixture.rate())
+    return rows.select(
+        "doc_id",
+        F.col("__tokens").alias("tokens"),
+        *[F.element_at("__p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)],
+        "rate",
+        repeats(F.col("rate"), F.col("doc_id").cast("string")).alias("copies"),
+    )
+
+
+def domains_of(labels: DataFrame) -> DataFrame:
+    """doc_id, domain: toxic, else good or poor by quality; without both labels none."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", kind.alias("domain")).filter(F.col("domain").isNotNull())
+
+
+@query("op3_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+_LEVEL = """
+    {name}_m AS (
+        SELECT 1 / least(greatest(
+            coalesce((sum(n * (bad / n - above) * (bad / n - above)) - sum(above * (1 - above)))
+                     / nullif(sum(above * (1 - above) * (n - 1)), 0), 0.0001), 0.0001), 0.9) - 1 AS m
+        FROM {name} WHERE n > 0
+    )"""
+
+
+@query(
+    "op6_host_reputation",
+    rf"""
+    WITH r AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+    ), p AS (
+        SELECT page_id,
+               coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM r
+    ), o AS (
+        SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+    ), c AS (
+        SELECT host, string_split(regexp_replace(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '\.$', ''), '.') AS l,
+               count(bad) AS n, coalesce(sum(bad), 0) AS bad
+        FROM p LEFT JOIN o ON page_id = doc_id GROUP BY host
+    ), c2 AS (
+        SELECT *, array_to_string(l[-2:], '.') IN ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br') AS two FROM c
+    ), counts AS (
+        SELECT host, n, bad, array_to_string(CASE WHEN two THEN l[-3:] ELSE l[-2:] END, '.') AS domain,
+               array_to_string(CASE WHEN two THEN l[-2:] ELSE l[-1:] END, '.') AS suffix
+        FROM c2
+    ), s AS (
+        SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+               ((SELECT sum(bad) FROM counts) + 0.5) / ((SELECT sum(n) FROM counts) + 1.0) AS above
+        FROM counts GROUP BY suffix
+    ), {_LEVEL.format(name="s")}, d AS (
+        SELECT domain, suffix, sum(counts.n) AS n, sum(counts.bad) AS bad, any_value((m * above + s.bad) / (m + s.n)) AS above
+        FROM counts JOIN s USING (suffix), s_m GROUP BY domain, suffix
+    ), {_LEVEL.format(name="d")}, h AS (
+        SELECT host, counts.n, counts.bad, (m * above + d.bad) / (m + d.n) AS above
+        FROM counts JOIN d USING (domain, suffix), d_m
+    ), {_LEVEL.format(name="h")}, post AS (
+        SELECT host, (m * above + bad) / (m + n) AS mean, m + n AS weight FROM h, h_m
+    ), ruled AS (
+        SELECT p.*, CASE
+            WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+        FROM p
+    )
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                WHEN mean + 1.6448536269514722 * sqrt(mean * (1 - mean) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+    FROM ruled JOIN post USING (host)
+    """,
+)
+def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of pages are the labels of equal number: bad if poor or toxic."""
+    labels = table(spark, sf_dir, "labels")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")

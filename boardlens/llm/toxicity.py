@@ -264,12 +264,8 @@ def fit_bags(bags: list[list[str]], positive: np.ndarray, weight: np.ndarray, pa
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, the columns in ``keep`` and score for each row, from its whole text only.
-
-    Null, empty and blank texts get the score of the bias. Repeated rows give equal scores; an empty table
-    gives none; other columns don't matter.
-    """
+def _scorer(model: ToxicityModel, column: str):
+    """Starts a task's function from texts to scores; distinct spans are decided once, many at a time."""
 
     def start():
         known: dict[str, float] = {}
@@ -286,7 +282,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id"
 
         def make(columns):
             best, part, size = [], [], 0
-            for t in columns["text"]:
+            for t in columns[column]:
                 part.append(t)
                 size += len(t or "")
                 if size > CHARACTERS:
@@ -297,5 +293,19 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id"
 
         return make
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), *keep, F.col(text).alias("text"))
-    return map_rows(rows, "score double", start, ["doc_id", "held_out", *keep])
+    return start
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, held_out and score for each row, from its whole text only.
+
+    Null, empty and blank texts get the score of the bias. Repeated rows give equal scores; an empty table
+    gives none; other columns don't matter.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("text"))
+    return map_rows(rows, "score double", _scorer(model, "text"), ["doc_id", "held_out"])
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, limit: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with all their columns."""
+    return map_rows(docs, "__toxicity double", _scorer(model, text), docs.columns).filter(F.col("__toxicity") < limit).drop("__toxicity")
