@@ -124,15 +124,29 @@ def hamming(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return map_rows(both.select("a", "b", "sa", "sb"), "distance int", start, ["a", "b"]).filter(F.col("distance") <= DISTANCE)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Which cells hold a shingle, of 2**k cells by the leading k bits; four to eight cells a shingle."""
+    k = max(9, (4 * len(shingles) - 1).bit_length())
+    held = np.zeros(1 << k, bool)
+    held[(shingles >> np.uint64(64 - k)).astype(np.int64)] = True
+    return np.packbits(held).tobytes()
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(id, shingles): the full sets of the named documents, as sorted little-endian 64-bit numbers."""
+    """(id, n, cells, shingles) of the named documents; shingles are sorted little-endian 64-bit numbers."""
 
     def start():
         shingle = Shingler(width)
-        return lambda columns: (pa.array([shingle(t).tobytes() for t in columns["text"]], pa.binary()),)
+
+        def make(columns):
+            sets = [shingle(t) for t in columns["text"]]
+            cells = pa.array([bitmap(s) for s in sets], pa.binary())
+            return pa.array(map(len, sets), pa.int64()), cells, pa.array([s.tobytes() for s in sets], pa.binary())
+
+        return make
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return map_rows(rows.join(ids, "id", "left_semi"), "shingles binary", start, ["id"])
+    return map_rows(rows.join(ids, "id", "left_semi"), "n long, cells binary, shingles binary", start, ["id"])
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -155,11 +169,67 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_rows(both.select("a", "b", "sa", "sb"), "ok boolean", start, ["a", "b"]).filter("ok").select("a", "b")
 
 
-def open_pairs(buckets: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
-    """(a, b) within DISTANCE that share a bucket but no component yet.
+def _folded(cells: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows of bytes) with neighbouring cells merged down to ``size`` bytes."""
+    bits = np.unpackbits(cells, axis=-1)
+    bits = bits.reshape(*bits.shape[:-1], size * 8, -1).max(axis=-1)
+    return np.packbits(bits, axis=-1)
+
+
+class Cells:
+    """Bitmaps of a group's rows, and a bound on what two sets share.
+
+    A cell that only one set fills holds at least one of its shingles that the other lacks, so the sets
+    share at most n less such cells. Bitmaps of other sizes are folded to the smaller one first.
+    """
+
+    def __init__(self, n: np.ndarray, cells: list[bytes]) -> None:
+        self.n = n
+        self.size = np.array([len(c) for c in cells])
+        self.cells = cells
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for s in np.unique(self.size):
+            at = np.flatnonzero(self.size == s)
+            place = np.full(len(n), -1)
+            place[at] = np.arange(len(at))
+            self.by_size[int(s)] = place, np.frombuffer(b"".join(cells[i] for i in at), np.uint8).reshape(len(at), s)
+
+    def may_reach(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Those of ``others`` whose similarity with row i may be ``percent`` or more."""
+        n, m = self.n[i], self.n[others]
+        others = others[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+        kept = []
+        own = np.frombuffer(self.cells[i], np.uint8)
+        for s in np.unique(self.size[others]):
+            at = others[self.size[others] == s]
+            place, matrix = self.by_size[int(s)]
+            a, b = own, matrix[place[at]]
+            if s < len(own):
+                a = _folded(own, int(s))
+            elif s > len(own):
+                b = _folded(b, len(own))
+            a, b = a.view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
+            shared = np.minimum(
+                n - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+                self.n[at] - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64),
+            )
+            kept.append(at[100 * shared >= percent * (n + self.n[at] - shared)])
+        return np.concatenate(kept) if kept else others[:0]
+
+
+def _first_shared(sig: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Number (chunk * CHUNK + value left out) of the first key that a signature shares with each other."""
+    same = (others == sig).reshape(len(others), CHUNKS, CHUNK)
+    out = (same.sum(axis=2)[:, :, None] - same) == CHUNK - 1
+    return out.reshape(len(others), -1).argmax(axis=1)
+
+
+def open_pairs(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) within DISTANCE that share a bucket but no component yet and may be similar enough.
 
     A bucket is cut into blocks, and each pair of blocks is one group, so a bucket of any size is
-    spread over tasks and memory holds two blocks. Buckets inside one component are dropped first.
+    spread over tasks and memory holds two blocks. Buckets inside one component are dropped first. A pair
+    comes only from the first key that it shares, and only if the bound of its bitmaps allows a link.
     """
     member = buckets.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     still = (
@@ -169,28 +239,32 @@ def open_pairs(buckets: DataFrame, labels: DataFrame, signatures: DataFrame) ->
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     rows = member.join(still, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.join(signatures.select("id", "signature"), "id")
+    rows = rows.join(signatures.select("id", "signature"), "id").join(sets.select("id", "n", "cells"), "id")
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least("block", o).alias("x"), F.greatest("block", o).alias("y")),
     )
-    rows = rows.select("key", "id", "component", "signature", "block", F.explode(others).alias("pair"))
+    rows = rows.select("key", "id", "component", "signature", "n", "cells", "block", F.explode(others).alias("pair"))
 
     def compare(group: pa.Table) -> pa.Table:
         block = group["block"].to_numpy()
         ids, comp = group["id"].to_numpy(), group["component"].to_numpy()
         sig = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u2").reshape(-1, VALUES)
+        cells = Cells(group["n"].to_numpy(), group["cells"].to_pylist())
+        tag = group["key"][0].as_py() >> 48
         first, last = block == block.min(), block == block.max()
-        a, b = [], []
+        a, b = [ids[:0]], [ids[:0]]
         for i in np.flatnonzero(first):
             near = np.flatnonzero(last & (comp != comp[i]))
             near = near[(sig[near] != sig[i]).sum(axis=1) <= DISTANCE]
+            near = near[_first_shared(sig[i], sig[near]) == tag] if len(near) else near
+            near = cells.may_reach(i, near, percent)
             a.append(np.minimum(ids[near], ids[i]))
             b.append(np.maximum(ids[near], ids[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else pa.table({"a": ids[:0], "b": ids[:0]})
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return (
-        rows.select("key", "pair.x", "pair.y", "id", "component", "block", "signature")
+        rows.select("key", "pair.x", "pair.y", "id", "component", "block", "signature", "n", "cells")
         .groupBy("key", "x", "y")
         .applyInArrow(compare, "a long, b long")
         .distinct()
@@ -227,7 +301,7 @@ def near_duplicates(
     sets = written(shingle_sets(docs, buckets.select("id").distinct(), doc_id, text, width))
     links = written(confirm(nearest, sets, percent))
     labels = components(links)
-    rest = written(open_pairs(buckets.select("key", "id"), labels, leaders))
+    rest = written(open_pairs(buckets.select("key", "id"), labels, leaders, sets, percent))
     more = written(confirm(rest, sets, percent))
     joined = components(links.union(more))
     # copies of a class follow its leader; ids that repeat with other texts tie classes together
