@@ -29,9 +29,12 @@ from boardlens.llm.common import written
 
 #: Ranges of the rounds.
 ROUNDS = (8, 4, 2, 1)
-#: Words that a task remembers, and their longest length.
-MEMORY = 300_000
+#: Parts that a process remembers (about 200 bytes each) and their longest length.
+MEMORY = 800_000
 LONGEST = 64
+#: Words encoded as one text, and characters of the texts that are taken together.
+TOGETHER = 2000
+CHARACTERS = 2_000_000
 _RUNS = "kind string, size int, first long, n long, bins long, bin long, offset int"
 _LOADED: dict[str, Any] = {}
 
@@ -39,8 +42,10 @@ _LOADED: dict[str, Any] = {}
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer splits at white space before anything else and no rule looks across it, so the ids of a
-    text are those of its blank-separated parts in a row; each part is encoded once. Strings of special
+    The tokenizer lower-cases and then splits at white space and between letters or digits and signs, and
+    no rule looks across. So the ids of a text are those of its blank-separated parts in a row, and a stop
+    or comma between a word and a blank is a part of its own. Parts are encoded once and remembered for
+    all tasks of a process, up to a number; when many are missed the table starts anew. Strings of special
     tokens in a text are ordinary text.
     """
 
@@ -49,30 +54,62 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            _LOADED[file] = Tokenizer.from_file(file)
-            _LOADED[file].encode_special_tokens = True
-        self.tokenizer = _LOADED[file]
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            tokenizer = Tokenizer.from_file(file)
+            tokenizer.encode_special_tokens = True
+            vocabulary = tokenizer.get_vocab()
+            last = np.zeros(max(vocabulary.values()) + 1, bool)
+            last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+            _LOADED[file] = tokenizer, last, {}
+        self.tokenizer, self.last, self.known = _LOADED[file]
+        self.missed = 0
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        split = [self.parts(t) if t else [] for t in texts]
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) > MEMORY:
+        new = set().union(*split).difference(known)
+        full = len(known) + len(new) > MEMORY
+        words = [p for p in new if p.isalpha()]
+        for k in range(0, len(words), TOGETHER):
+            known.update(self._words(words[k : k + TOGETHER]))
+        known.update(self._each([p for p in new if not p.isalpha()]))
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        if full:
+            self.missed += len(new)
+        if self.missed > 4 * MEMORY:
+            self.missed = 0
             known.clear()
-        new = [p for p in set(parts) if p not in known]
-        extra = dict(zip(new, self._encode(new), strict=True))
-        known.update((p, ids) for p, ids in extra.items() if len(p) <= LONGEST)
-        return b"".join(known[p] if p in known else extra[p] for p in parts)
-
-    def _encode(self, parts: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+        for p in new:
+            if full or len(p) > LONGEST:
+                known.pop(p, None)
+        return out
+
+    def _each(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return ((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(parts, found, strict=True))
+
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters in one text: each ends with the one token of it that is marked as last."""
+        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # a letter that the tokenizer takes apart
+            return self._each(words)
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return ((w, data[cuts[i] : cuts[i + 1]]) for i, w in enumerate(words))
+
+    @staticmethod
+    def parts(text: str) -> list[str]:
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split(" ")
+        # in Latin-1 a letter's lower case is one letter, whatever is next to it
+        text = text.lower()
+        only_words = text.replace(" ", "").replace(".", "").replace(",", "").isalnum()
+        if only_words and not (".." in text or ",," in text or ".," in text or ",." in text):
+            text = text.replace(". ", " . ").replace(", ", " , ")
+        return text.split(" ")
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id: str, text: str, keep_ids: bool = False) -> DataFrame:
@@ -87,8 +124,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id:
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, piece, start, length, crc, place, ids = [], [], [], [], [], [], []
-            for i, value in enumerate(batch.column("text")):
-                data = encode(value.as_py()) + end
+            for i, data in enumerate(_encoded(encode, batch.column("text").to_pylist())):
+                data += end
                 for k in range(0, len(data) // 4, capacity):
                     part = data[4 * k : 4 * (k + capacity)]
                     n = len(part) // 4
@@ -112,6 +149,18 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id:
     return out if keep_ids else out.drop("ids")
 
 
+def _encoded(encode: Encoder, texts: list[str | None]) -> Iterator[bytes]:
+    """Texts are encoded together as far as they are short, for fewer calls with fewer new parts each."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size > CHARACTERS:
+            yield from encode(part)
+            part, size = [], 0
+    yield from encode(part)
+
+
 class Sweep:
     """One range's sweep over runs of gaps, from the longest pieces down."""
 
