@@ -35,12 +35,52 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@query("op7_minhash_near_dedup")
+@query(
+    "op7_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), g AS (
+        SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN generate_series(1, len(w) - 4)] END) AS g
+        FROM w
+    ), s AS (SELECT doc_id, len(g) AS n, unnest(g) AS shingle FROM g),
+    l AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), r(id, root) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id WHERE r.root < l.b
+    ), c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+    SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM g JOIN c ON id = doc_id
+    """,
+)
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op4_embedding_near_dedup")
+@query(
+    "op4_embedding_near_dedup",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+        WHERE label IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+          AND list_bool_or([x <> 0 FOR x IN embedding])
+    ), l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b
+        FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+    ), r(id, root) AS (
+        SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id WHERE r.root < l.b
+    ), c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN c ON id = vec_id LEFT JOIN n ON a = vec_id
+    """,
+)
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
