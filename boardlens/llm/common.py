@@ -45,6 +45,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+_TABLES: dict[str, dict] = {}
+
+
+def process_table(owner: str) -> dict:
+    """A table that outlives a task in its Python process; that of the owner before goes.
+
+    Processes serve one operator after another, so at most one table is held in each.
+    """
+    if owner not in _TABLES:
+        _TABLES.clear()
+        _TABLES[owner] = {}
+    return _TABLES[owner]
+
+
 def map_rows(
     df: DataFrame,
     schema: str,
@@ -61,6 +75,7 @@ def map_rows(
     names = [*keep, *(c.strip().split(" ")[0] for c in _top_level(schema))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_table("rows")
         make = start()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), *make(_Columns(batch))], names=names)
@@ -72,14 +87,15 @@ def map_rows(
 
 
 class _Columns:
-    """Columns of a batch by name, read when asked for: texts and bytes as lists, others as arrays."""
+    """Columns of a batch by name: texts and bytes one by one, so that a batch of them is held once; others as arrays."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
         self.batch = batch
 
     def __getitem__(self, name: str):
         column = self.batch.column(name)
-        return column.to_pylist() if pa.types.is_string(column.type) or pa.types.is_binary(column.type) else column
+        one_by_one = pa.types.is_string(column.type) or pa.types.is_binary(column.type)
+        return (value.as_py() for value in column) if one_by_one else column
 
 
 def _top_level(schema: str) -> list[str]:

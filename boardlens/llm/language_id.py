@@ -66,7 +66,7 @@ def _gather(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             picked = []
-            for i, text, label, weight in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label", "weight")), strict=True):
+            for i, text, label, weight in zip(*((v.as_py() for v in batch.column(c)) for c in ("doc_id", "text", "label", "weight")), strict=True):
                 if not has_letter(text):
                     continue
                 at, count = counter(text.lower())

@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -25,16 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlens.llm.common import written
+from boardlens.llm.common import process_table, written
 
 #: Ranges of the rounds.
 ROUNDS = (8, 4, 2, 1)
 #: Parts that a process remembers (about 200 bytes each) and their longest length.
-MEMORY = 800_000
+MEMORY = 600_000
 LONGEST = 64
 #: Words encoded as one text, and characters of the texts that are taken together.
 TOGETHER = 2000
-CHARACTERS = 2_000_000
+CHARACTERS = 1_000_000
 _RUNS = "kind string, size int, first long, n long, bins long, bin long, offset int"
 _LOADED: dict[str, Any] = {}
 
@@ -59,8 +59,9 @@ class Encoder:
             vocabulary = tokenizer.get_vocab()
             last = np.zeros(max(vocabulary.values()) + 1, bool)
             last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-            _LOADED[file] = tokenizer, last, {}
-        self.tokenizer, self.last, self.known = _LOADED[file]
+            _LOADED[file] = tokenizer, last
+        self.tokenizer, self.last = _LOADED[file]
+        self.known = process_table(file)
         self.missed = 0
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
@@ -124,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id:
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, piece, start, length, crc, place, ids = [], [], [], [], [], [], []
-            for i, data in enumerate(_encoded(encode, batch.column("text").to_pylist())):
+            for i, data in enumerate(_encoded(encode, (value.as_py() for value in batch.column("text")))):
                 data += end
                 for k in range(0, len(data) // 4, capacity):
                     part = data[4 * k : 4 * (k + capacity)]
@@ -149,7 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id:
     return out if keep_ids else out.drop("ids")
 
 
-def _encoded(encode: Encoder, texts: list[str | None]) -> Iterator[bytes]:
+def _encoded(encode: Encoder, texts: Iterable[str | None]) -> Iterator[bytes]:
     """Texts are encoded together as far as they are short, for fewer calls with fewer new parts each."""
     part, size = [], 0
     for t in texts:

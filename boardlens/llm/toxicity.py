@@ -33,8 +33,8 @@ WINDOW, STRIDE = 24, 12
 ALPHABET = 120
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 #: Spans scored at once, spans remembered by a task, and characters of the texts taken together.
-BATCH = 20_000
-MEMORY = 400_000
+BATCH = 10_000
+MEMORY = 200_000
 CHARACTERS = 1_000_000
 #: Toxic and clean landmarks; toxic ones have one of LENGTHS and a kernel below APART with each other.
 LANDMARKS = (96, 32)
