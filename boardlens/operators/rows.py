@@ -20,6 +20,12 @@ def overwrite_where(df: DataFrame, flag: Column, values: dict[str, object]) -> D
     )
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Every float column with NaN as null: what a missing number means in all operators here."""
+    floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Bag union by column name."""
     return reduce(DataFrame.unionByName, frames)

@@ -1,11 +1,12 @@
-"""CSV with header and explicit schema, and parquet snapshots between stages."""
+"""CSV with header and explicit schema."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from boardlens.operators.rows import union_all
 from boardlens.schemas import RANKINGS
 
 # The ranking years and their file name.
@@ -14,28 +15,33 @@ RANKING_FILE = "{year}_rankings.csv"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Columns are taken by header name, so extra columns and another order are fine."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, escape='"')
+    """Columns of ``schema`` by header name, whatever else the files hold and in whatever order.
 
+    The header of each path is read first (files below one path share theirs); several paths are
+    read one by one and united. A name that a header lacks fails.
+    """
+    return union_all([_by_name(spark, p, schema) for p in ([path] if isinstance(path, str) else path)])
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
 
+def _by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    header = spark.read.csv(path, header=True, escape='"').columns
+    kinds = {f.name: f.dataType for f in schema}
+    own = StructType([StructField(name, kinds.get(name, StringType())) for name in header])
+    return spark.read.schema(own).csv(path, header=True, escape='"').select(*schema.names)
 
-def snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Write once, read back with the same types; cuts the lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def read_rankings(spark: SparkSession, root: str, years=RANKING_YEARS) -> DataFrame:
-    """All yearly ranking files in one scan, with the year of each row's file.
+    """All yearly ranking files with the year of each row's file.
 
-    Only the three used columns are read; a file may hold others.
+    The three used columns are taken by the header of each file, which may hold others.
     """
-    paths = [f"{root}/{RANKING_FILE.format(year=y)}" for y in years]
-    year = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})", 1).cast("int")
-    return (
-        spark.read.csv(paths, header=True, escape='"')
-        .select(*RANKINGS.names, year.alias("year"))
+    return union_all(
+        [
+            read_csv(spark, f"{root}/{RANKING_FILE.format(year=y)}", RANKINGS).withColumn("year", F.lit(y))
+            for y in years
+        ]
     )

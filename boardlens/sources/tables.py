@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +57,34 @@ def read_jdbc(
 def scratch(spark: SparkSession) -> str:
     """A fresh path below the shared folder in ``spark.checkpoint.dir``.
 
-    Only a local session may leave the setting out; it gets a temporary folder.
+    Only a local session may leave the setting out; it gets a folder that goes when the process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "boardlens")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> str:
+    path = tempfile.mkdtemp(prefix="boardlens-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
+def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write once, read back with the same types; cuts the lineage. Without a path into ``scratch``."""
+    path = path or scratch(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_snapshots(*tables: DataFrame) -> None:
+    """Delete the folders of snapshots that no later plan reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

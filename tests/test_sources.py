@@ -30,7 +30,7 @@ def test_companies_from_governance(spark):
 
 def test_snapshot_keeps_types(spark, tmp_path):
     df = spark.range(3).withColumn("d", F.lit("2020-01-01").cast("date"))
-    back = csvio.snapshot(df, str(tmp_path / "s"))
+    back = tables.snapshot(df, str(tmp_path / "s"))
     assert back.schema.simpleString() == df.schema.simpleString() and back.count() == 3
 
 
@@ -44,6 +44,19 @@ def test_yearly_rankings(spark, tmp_path):
     assert [tuple(r) for r in gov.universities(df).collect()] == [("Uni", 17.5)]
 
 
+def test_columns_by_name_whatever_their_order(spark, tmp_path):
+    headers = ["rank,name,scores_overall", "rank,scores_overall,name", "country,rank,name,scores_overall"]
+    rows = ["1,Uni,{s}", "1,{s},Uni", "UK,1,Uni,{s}"]
+    for i, year in enumerate(csvio.RANKING_YEARS):
+        (tmp_path / f"{year}_rankings.csv").write_text(f"{headers[i % 3]}\n{rows[i % 3].format(s=i)}\n")
+    got = sorted(tuple(r) for r in csvio.read_rankings(spark, str(tmp_path)).collect())
+    assert got == sorted(("1", "Uni", str(i), y) for i, y in enumerate(csvio.RANKING_YEARS))
+    (tmp_path / "other.csv").write_text("spindex,ticker,z\nS&P 500,AAA,9\n")
+    schema = schemas.COMPANIES
+    read = csvio.read_csv(spark, [str(tmp_path / "other.csv")] * 2, schema)
+    assert read.schema == schema and {tuple(r) for r in read.collect()} == {("AAA", "S&P 500")}
+
+
 def test_later_run_list_wins(spark, tmp_path):
     first, second = tmp_path / "1.txt", tmp_path / "2.txt"
     first.write_text("a: [0.1, 0.2]\nb: [0.3]\nc: [0.9]\nc: [0.8]\n")
