@@ -110,9 +110,3 @@ def normal_name(c: Column) -> Column:
     """Lower-case words in sorted order, everything but letters and digits dropped."""
     words = F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")), " ")
     return F.array_join(F.array_sort(words), " ")
-
-
-def similarity(a: Column, b: Column) -> Column:
-    """0 to 100 from the edit distance relative to the longer text."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.lit(100.0) * (longest - F.levenshtein(a, b)) / longest

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boardlens.operators.windows import first_per_key
+
 
 def distinct_counts(
     df: DataFrame, keys: list[str], counts: dict[str, str], approximate: bool = False
@@ -65,9 +67,19 @@ def shannon_index(df: DataFrame, key: str, category: str, out: str) -> DataFrame
     )
 
 
-def last_non_null(value: Column, *order: Column) -> Column:
-    """Non-null value of the row that is last in ``order``."""
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+def last_non_null(df: DataFrame, key: str, value: str, order: list[str], out: str) -> DataFrame:
+    """Per key the value of the last row, in ``order``, whose value is neither null nor NaN.
+
+    A key without such a row has a null. One row per key is left before the shuffle.
+    """
+    known = F.when(~F.isnan(value), F.col(value)) if _is_float(df, value) else F.col(value)
+    rows = df.withColumn(out, known)
+    last_first = [F.col(out).isNull(), *[F.col(c).desc() for c in order]]
+    return first_per_key(rows, [key], last_first).select(key, out)
+
+
+def _is_float(df: DataFrame, col: str) -> bool:
+    return df.schema[col].dataType.typeName() in ("double", "float")
 
 
 def firm_rollup(
@@ -79,15 +91,16 @@ def firm_rollup(
     any_of: list[str] = (),
     total: list[str] = (),
 ) -> DataFrame:
-    """Declared roll-up: first value in ``order``, mean, OR and sum per key."""
-    at = F.struct(*order)
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in first],
-            *[F.avg(c).alias(c) for c in mean],
-            *[F.max(c).alias(c) for c in any_of],
-            *[F.sum(c).alias(c) for c in total],
-        )
-    )
+    """Declared roll-up: first non-null value in ``order``, mean, OR and sum per key.
+
+    Means, flags and sums are one hash aggregate; each first value is limited to a row per key before
+    its shuffle and joined by key.
+    """
+    rows = df.where(F.col(key).isNotNull())
+    sums = [F.avg(c).alias(c) for c in mean]
+    sums += [F.max(c).alias(c) for c in any_of] + [F.sum(c).alias(c) for c in total]
+    out = rows.groupBy(key).agg(*sums) if sums else rows.select(key).distinct()
+    for c in first:
+        known = rows.where(F.col(c).isNotNull()).select(*dict.fromkeys([key, c, *order]))
+        out = out.join(first_per_key(known, [key], order).select(key, c), key, "left")
+    return out.select(key, *first, *mean, *any_of, *total)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.functions.stats import f_upper, t_upper
+from boardlens.sources.tables import snapshot
 
 # Chance level of seven classes and the significance level.
 CHANCE = 1.0 / 7.0
@@ -61,16 +62,12 @@ def welch_top2(moments: DataFrame) -> DataFrame:
 
 def anova_f(moments: DataFrame) -> DataFrame:
     """One row: F, its degrees of freedom and p, from group counts, means and deviations."""
-    grand = moments.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
-    gap = F.col("mean") - F.col("_grand")
-    sums = (
-        moments.withColumn("_grand", grand)
-        .agg(
-            F.sum(F.col("n") * gap * gap).alias("between"),
-            F.sum((F.col("n") - 1) * F.col("sd") * F.col("sd")).alias("within"),
-            (F.count("*") - 1).cast("double").alias("df_between"),
-            (F.sum("n") - F.count("*")).cast("double").alias("df_within"),
-        )
+    n, mean = F.col("n"), F.col("mean")
+    sums = moments.agg(
+        (F.sum(n * mean * mean) - F.sum(n * mean) * F.sum(n * mean) / F.sum(n)).alias("between"),
+        F.sum((n - 1) * F.col("sd") * F.col("sd")).alias("within"),
+        (F.count("*") - 1).cast("double").alias("df_between"),
+        (F.sum(n) - F.count("*")).cast("double").alias("df_within"),
     )
     f = F.try_divide(
         F.try_divide("between", "df_between"), F.try_divide("within", "df_within")
@@ -114,13 +111,17 @@ def verdict(tested: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def report(runs: DataFrame, baseline: float = CHANCE, alpha: float = ALPHA) -> DataFrame:
-    """Per-model rows with mean, p, significance and whether the verdict picked the model."""
-    tested = against_baseline(group_moments(runs), baseline)
+    """Per-model rows with mean, p, significance and whether the verdict picked the model.
+
+    The moments, a row per model, are stored first, so the runs are read once for all tests.
+    """
+    tested = against_baseline(snapshot(group_moments(runs)), baseline)
     chosen = verdict(tested, alpha).select(F.struct("best", "rule"))
     return (
         tested.withColumn("_v", chosen.scalar())
         .select(
             "model",
+            "n",
             F.col("mean").alias("mean_accuracy"),
             "sd",
             "t",

@@ -9,10 +9,10 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
+from boardlens.sources.tables import snapshot
 
 
 def complete_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -30,13 +30,37 @@ def labels_back(model: StringIndexerModel, index: str, out: str) -> IndexToStrin
 
 
 def one_hot(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Sparse indicator vector with one slot per distinct value."""
+    """Sparse indicator vector with one slot per distinct value, in order; null and NaN are errors.
+
+    The number of values is the length of the vector, so it is meant for few of them.
+    """
     index = f"_{col}_index"
     indexed = fit_labels(df, col, index).transform(df)
     encoder = OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=False)
     return encoder.fit(indexed).transform(indexed).drop(index)
 
 
+def indicator_slots(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``df`` with the slot (from 0, in order) that an indicator vector of ``col`` would set.
+
+    For any number of values: distinct ones are range-sorted, written and numbered part by part, and
+    the slots are joined; nothing comes to the driver but a count per part. Null has no slot.
+    """
+    values = snapshot(
+        df.select(F.col(col).alias("_value"))
+        .where(F.col(col).isNotNull())
+        .distinct()
+        .repartitionByRange("_value")
+        .withColumn("_part", F.spark_partition_id())
+    )
+    sizes = values.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy("_value"))
+    slots = values.withColumn("_own", own).join(starts, "_part").select("_value", (F.col("_start") + F.col("_own") - 1).alias(out))
+    return df.join(slots, F.col(col) == F.col("_value"), "left").select(*df.columns, out)
+
+
 def argmax(values: Column) -> Column:
     """Position (from 0) of the largest element of an array, the first on ties."""
     return F.array_position(values, F.array_max(values)).cast("int") - 1
@@ -67,22 +91,16 @@ def standardise(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight ``n / (classes * class count)`` per row.
+    """Weight ``n / (classes * class count)`` per row, as the last column; null labels have none.
 
-    Class counts are read back like any fitted model, up to ``MAX_CLASSES`` of them, and
-    applied as a literal map; a label with more distinct values is joined instead.
+    Class counts are joined, however many there are; Spark broadcasts them if they are small.
     """
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
-    head = counts.limit(MAX_CLASSES + 1).collect()
-    if len(head) <= MAX_CLASSES:
-        total = sum(r["_n"] for r in head)
-        weights = {r[label]: total / (len(head) * r["_n"]) for r in head}
-        return explicit_weights(df, label, weights, None, out)
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
     totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k")))
     weights = counts.withColumn("_t", totals.scalar()).select(
-        label, (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(out)
+        "_label", (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(out)
     )
-    return df.join(weights, label, "left")
+    return df.join(weights, F.col(label) == F.col("_label"), "left").select(*df.columns, out)
 
 
 def explicit_weights(
@@ -105,8 +123,8 @@ def split_bucket(key: str, seed: int) -> Column:
 def hash_split(
     df: DataFrame, key: str, seed: int = 42, test_percent: int = 20
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by the hash of the key, without a shuffle."""
-    test = split_bucket(key, seed) < test_percent
+    """(train, test) by the hash of the key, without a shuffle; rows without a key train."""
+    test = F.coalesce(split_bucket(key, seed) < test_percent, F.lit(False))
     return df.where(~test), df.where(test)
 
 

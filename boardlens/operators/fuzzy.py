@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.functions.text import normal_name
-from boardlens.operators.joins import if_small
+from boardlens.operators.windows import first_per_key
+from boardlens.sources.tables import snapshot
 
 BLOCK = ["_len", "_t", "_i", "_seg"]
 # Choices in a block beyond which its names are spread over several tasks.
@@ -47,7 +48,7 @@ def _choice_blocks(choices: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
-def _name_blocks(names: DataFrame, cutoff: int) -> DataFrame:
+def _name_blocks(names: DataFrame, kinds: DataFrame, cutoff: int) -> DataFrame:
     m = F.length("_name")
     lengths = F.sequence(
         F.ceil(m * cutoff / 100).cast("int"), F.floor(m * 100 / cutoff).cast("int")
@@ -60,6 +61,7 @@ def _name_blocks(names: DataFrame, cutoff: int) -> DataFrame:
     return (
         names.withColumn("_len", F.explode(lengths))
         .withColumn("_t", _edits(cutoff, F.greatest(m, F.col("_len"))))
+        .join(kinds, ["_len", "_t"], "left_semi")
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_t"))))
         .withColumns({"_low": low, "_high": high, "_size": size})
         .where("_low <= _high")
@@ -73,16 +75,14 @@ def _candidates(names: DataFrame, choices: DataFrame, cutoff: int) -> DataFrame:
     """Pairs that share a block.
 
     Common words make some blocks large. The names of such a block are salted, and its choices
-    repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name.
+    repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name. Names
+    are only cut into segments of lengths and numbers that occur among the choices.
     """
-    # Few bytes of names make many candidates: keep adaptive execution from merging them.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = _name_blocks(names.repartition(tasks, "_name"), cutoff)
     right = _choice_blocks(choices, cutoff)
-    if choices.limit(HOT_BLOCK + 1).count() <= HOT_BLOCK:
-        return left.join(right, BLOCK)
+    kinds = right.select("_len", "_t").distinct()
+    left = _name_blocks(names, kinds, cutoff)
     sizes = right.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
-    hot = if_small(sizes.where("_salts > 1"))
+    hot = sizes.where("_salts > 1")
     salts = F.coalesce("_salts", F.lit(1))
     salt = F.pmod(F.xxhash64("_name"), salts)
     every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
@@ -122,7 +122,8 @@ def best_match(
         .groupBy("_choice")
         .agg(F.min("_match").alias("_match"))
     )
-    equal = wanted.join(offered, F.col("_name") == F.col("_choice"), "left")
+    offered = snapshot(offered)
+    equal = snapshot(wanted.join(offered, F.col("_name") == F.col("_choice"), "left"))
     exact = equal.where(F.col("_choice").isNotNull())
     rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
     longest = F.greatest(F.length("_name"), F.length("_choice"))
@@ -131,10 +132,8 @@ def best_match(
         .withColumn("_edits", F.call_function("levenshtein", "_name", "_choice", "_t"))
         .where("_edits >= 0")
         .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
-        .groupBy(name)
-        .agg(F.min(F.struct((-F.col(score)).alias("_cost"), "_match")).alias("_best"))
-        .select(name, "_best._match", (-F.col("_best._cost")).alias(score))
     )
+    near = first_per_key(near, [name], [F.col(score).desc(), "_match"]).select(name, "_match", score)
     found = exact.select(name, "_match", F.lit(100.0).alias(score)).unionByName(near)
     return found.select(
         name,

@@ -1,8 +1,8 @@
 """Join operators beyond a plain equi-join.
 
-No side is force-broadcast without a check: Spark broadcasts a side whose measured size is
-below ``spark.sql.autoBroadcastJoinThreshold``, ``if_small`` hints only after counting, and
-adaptive execution splits skewed partitions of the sort-merge joins beyond that.
+No side is force-broadcast: Spark broadcasts a side whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution splits skewed partitions of the
+sort-merge joins beyond that.
 """
 
 from __future__ import annotations
@@ -21,14 +21,6 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
-
-    Counts by a job of its own, so it is meant for small derived tables.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join in which a null key matches a null key."""
     r = _renamed(right, keys)

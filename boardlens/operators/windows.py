@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlens.sources.csvio import snapshot
-from boardlens.sources.tables import scratch
-
-MAX_RUNS = 1_000_000
+from boardlens.sources.tables import snapshot
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -27,21 +26,15 @@ def first_of_newest(
     """One row per key: the first row, in ``order``, of the group that holds the newest row.
 
     The newest row of a key is the one with the largest ``newest`` (null last), then the first
-    in ``order``. Two map-side-combined aggregates, so neither key nor group needs one task.
-    All columns of ``df`` travel along; select the wanted ones first.
+    in ``order``. Both steps limit every key to one row before they shuffle, so neither a hot key
+    nor a hot group needs one task. ``df`` is read twice; pass a stored table.
     """
-    rank = F.struct(F.col(newest).isNull(), -F.col(newest), *order)
-    rest = [c for c in df.columns if c != key]
-    return (
-        df.groupBy(key, F.col(group).alias("_group"))
-        .agg(
-            F.min(rank).alias("_rank"),
-            F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"),
-        )
-        .groupBy(key)
-        .agg(F.min_by("_row", "_rank").alias("_row"))
-        .select(key, "_row.*")
+    newest_first = [F.col(newest).desc_nulls_last(), *order]
+    holder = first_per_key(df.select(key, group, newest, *order), [key], newest_first).select(
+        F.col(key).alias("_newest_key"), F.col(group).alias("_newest_group")
     )
+    same = F.col(key).eqNullSafe(F.col("_newest_key")) & F.col(group).eqNullSafe(F.col("_newest_group"))
+    return first_per_key(df.join(holder, same, "left_semi"), [key], order)
 
 
 def row_lag(
@@ -52,95 +45,44 @@ def row_lag(
     n: int,
     out: str,
     split_rows: int = 4_000_000,
-    grain: str = "day",
     count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Value ``n`` rows earlier within the key; rows with a null key are dropped.
 
     A first job counts the rows per key (in ``count_from`` if that is cheaper and holds at least
-    the same rows). Without a key of more than ``split_rows`` rows one window does. Otherwise
-    ``order[0]``, a date or timestamp, cuts those keys into runs of whole days (or another
-    calendar ``grain``) of about that many rows; each run is sorted in a task of its own, and
-    its first ``n`` rows take their value from the last rows of the runs before it. Up to
-    ``MAX_RUNS`` runs these small tables are broadcast, beyond that they are joined by shuffle.
+    the same rows). Keys of up to ``split_rows`` rows are sorted in one window. Longer ones are
+    range-sorted by key and ``order``, whatever its types, nulls included, into runs of about that
+    many rows and written; each run is sorted in a task of its own, and its first ``n`` rows take
+    their value from the last rows of the runs before it. Only rows equal in all of ``order`` share a
+    run. Both ways return the same columns.
     """
     rows = df.where(F.col(key).isNotNull())
     counted = rows if count_from is None else count_from.where(F.col(key).isNotNull())
     hot = counted.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > split_rows)
-    if hot.isEmpty():
-        w = Window.partitionBy(key).orderBy(*order)
+    total = hot.agg(F.sum("_n")).first()[0]
+    w = Window.partitionBy(key).orderBy(*order)
+    if total is None:
         return rows.withColumn(out, F.lag(value, n).over(w))
 
-    moment = F.date_trunc(grain, F.col(order[0]))
-    runs = snapshot(
-        _runs(rows, hot.select(key), key, moment, n, split_rows), scratch(df.sparkSession)
-    )
-    hint = F.broadcast if runs.limit(MAX_RUNS + 1).count() <= MAX_RUNS else _no_hint
-    by_key = hint(
-        runs.groupBy(key).agg(
-            F.sort_array(F.collect_list(F.struct("_from", "_tail_from"))).alias("_runs")
-        )
-    )
-    run = F.coalesce(F.size(F.filter("_runs", lambda r: r["_from"] <= moment)), F.lit(0))
-    tail_from = F.get("_runs", F.col("_run") - 1)["_tail_from"]
-    ends = (
-        rows.join(by_key, key)
-        .withColumn("_run", run)
-        .where(F.coalesce(moment >= tail_from, F.lit(True)))
+    hot = hot.select(key)
+    plain = rows.join(hot, key, "left_anti").withColumn(out, F.lag(value, n).over(w))
+    cut = snapshot(
+        rows.join(hot, key, "left_semi")
+        .repartitionByRange(math.ceil(total / split_rows), key, *order)
+        .withColumn("_run", F.spark_partition_id())
     )
-    carried = hint(_carried(ends, key, order, value, n))
-
     within = Window.partitionBy(key, "_run").orderBy(*order)
     missing = F.size("_carried") - n + F.col("_rn") - 1
-    return (
-        rows.join(by_key, key, "left")
-        .withColumn("_run", run)
-        .withColumns({out: F.lag(value, n).over(within), "_rn": F.row_number().over(within)})
-        .join(carried, [key, "_run"], "left")
+    split = (
+        cut.withColumns({out: F.lag(value, n).over(within), "_rn": F.row_number().over(within)})
+        .join(_carried(cut, key, order, value, n), [key, "_run"], "left")
         .withColumn(out, F.when(F.col("_rn") <= n, F.get("_carried", missing)).otherwise(F.col(out)))
-        .select(*df.columns, out)
-    )
-
-
-def _no_hint(df: DataFrame) -> DataFrame:
-    return df
-
-
-def _runs(
-    rows: DataFrame, hot: DataFrame, key: str, moment: Column, n: int, split_rows: int
-) -> DataFrame:
-    """(key, run, first moment, moment from which its last ``n`` rows date).
-
-    Works on row counts per key and moment, whose number the calendar bounds.
-    """
-    earlier = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    later = (
-        Window.partitionBy(key, "_run")
-        .orderBy(F.col("_at").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    after = F.coalesce(F.sum("_n").over(later), F.lit(0))
-    return (
-        rows.join(hot, key, "left_semi")
-        .groupBy(key, moment.alias("_at"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_run", F.floor(before / split_rows))
-        .withColumn("_after", after)
-        .groupBy(key, "_run")
-        .agg(
-            F.min("_at").alias("_from"),
-            F.min(F.when(F.col("_after") < n, F.col("_at"))).alias("_tail_from"),
-        )
-        .where(F.col("_from").isNotNull())
     )
+    return plain.select(*df.columns, out).union(split.select(*df.columns, out))
 
 
 def _carried(rows: DataFrame, key: str, order: list[str], value: str, n: int) -> DataFrame:
-    """(key, run, up to ``n`` values that precede the run), oldest first.
-
-    ``rows`` holds at least the last ``n`` rows of each run.
-    """
+    """(key, run, up to ``n`` values that precede the run), oldest first."""
     newest_first = [F.col(c).desc() for c in order]
     back = F.row_number().over(Window.partitionBy(key, "_run").orderBy(*newest_first))
     tails = (

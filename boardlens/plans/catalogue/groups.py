@@ -277,8 +277,42 @@ def anova_f(spark, root):
     return table.select(F.round("f", 6).alias("f"), "df_between", "df_within")
 
 
-@query("model_verdict")
+# Upper 10 % points: of t for the hundreds or thousands of degrees of freedom of a group here, and
+# of F for four and as many degrees of freedom. They stand for p < 0.10, which SQL can't compute.
+T_POINT, F_POINT = 1.2819, 1.9455
+
+
+@query("model_verdict", MOMENTS + f"""
+, tested AS (SELECT *, (mean - 45) / (sd / sqrt(n)) AS t FROM g),
+s AS (SELECT *, row_number() OVER (ORDER BY mean DESC, model) AS rn FROM tested WHERE abs(t) > {T_POINT}),
+w AS (SELECT a.model AS best, (a.mean - b.mean) / sqrt(a.sd * a.sd / a.n + b.sd * b.sd / b.n) AS t
+      FROM s a, s b WHERE a.rn = 1 AND b.rn = 2),
+f AS (SELECT (sum(n * pow(mean - (SELECT sum(n * mean) / sum(n) FROM s), 2)) / (count(*) - 1))
+             / (sum((n - 1) * sd * sd) / (sum(n) - count(*))) AS f FROM s),
+rule AS (SELECT CASE WHEN count(*) = 0 THEN 'none significant' WHEN count(*) = 1 THEN 'only significant model'
+                     WHEN (SELECT t FROM w) > {T_POINT} THEN 'welch' WHEN (SELECT f FROM f) > {F_POINT} THEN 'anova'
+                     ELSE 'no difference' END AS rule FROM s)
+SELECT g.model, g.n, round(g.mean, 6) AS mean_accuracy, round(g.sd, 6) AS sd, round(t.t, 6) AS t,
+       CAST(abs(t.t) > {T_POINT} AS INTEGER) AS significant, rule,
+       CAST(coalesce(rule IN ('only significant model', 'welch', 'anova') AND g.model = (SELECT model FROM s WHERE rn = 1), FALSE) AS INTEGER) AS chosen
+FROM g JOIN tested t USING (model), rule
+""")
 def model_verdict(spark, root):
     (events,) = read_tables(spark, root, "events")
     runs = events.select(F.col("event_type").alias("model"), F.col("value").alias("accuracy"))
-    return compare.report(runs, baseline=45.0)
+    out = compare.report(runs, baseline=45.0).drop("p_value")
+    flags = {c: F.col(c).cast("int") for c in ("significant", "chosen")}
+    return out.withColumns(flags | {c: F.round(c, 6) for c in ("mean_accuracy", "sd", "t")})
+
+
+@query("lag_long_keys", """
+SELECT event_type, event_id, round(lag(value, 3) OVER (PARTITION BY event_type ORDER BY day NULLS FIRST, event_id), 6) AS before
+FROM (SELECT *, CASE WHEN event_id % 7 > 0 THEN CAST(ts AS DATE) END AS day FROM events)
+""")
+def lag_long_keys(spark, root):
+    """A row lag whose keys are all longer than a run; the first order column is null on some rows."""
+    (events,) = read_tables(spark, root, "events")
+    day = F.when(F.col("event_id") % 7 > 0, F.to_date("ts"))
+    rows = events.select("event_type", day.alias("day"), "event_id", "value")
+    lagged = row_lag(rows, "event_type", ["day", "event_id"], "value", 3, "before", split_rows=50)
+    return lagged.select("event_type", "event_id", F.round("before", 6).alias("before"))

@@ -9,7 +9,6 @@ from boardlens.operators.features import complete_rows
 from boardlens.operators.fuzzy import best_match
 from boardlens.operators.joins import (
     flag_matching,
-    if_small,
     inner_on,
     keep_matching,
     null_safe_left,
@@ -47,7 +46,7 @@ def null_safe_join(spark, root):
         .agg(F.count("*").cast("double").alias("firms"), F.round(F.avg("c_acctbal") + 1e-7, 4).alias("balance"))
     )
     firms = customer.select("c_custkey", segment)
-    return null_safe_left(firms, if_small(per_segment), ["segment"])
+    return null_safe_left(firms, per_segment, ["segment"])
 
 
 @query("suffix_join", """
@@ -124,6 +123,29 @@ def latest_then_first(spark, root):
     return picked.drop("started")
 
 
+@query("fuzzy_many_choices", """
+WITH c AS (SELECT c_custkey, substr(md5(c_custkey::VARCHAR), 1, 15) AS code FROM customer),
+q AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN substr(code, 2) WHEN 1 THEN code || 'zz' ELSE 'q' || substr(code, 1, 13) END AS name FROM c),
+p AS (SELECT q.c_custkey, c.code, 100.0e0 * (greatest(length(name), length(code)) - levenshtein(name, code)) / greatest(length(name), length(code)) AS score
+      FROM q JOIN c ON abs(length(name) - length(code)) <= 3)
+SELECT c_custkey, code AS match, round(score, 6) AS score FROM p WHERE score >= 75
+QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, code) = 1
+""")
+def fuzzy_many_choices(spark, root):
+    """As many choices as customers; each name is a choice with letters lost or added."""
+    (customer,) = read_tables(spark, root, "customer")
+    code = F.substr(F.md5(F.col("c_custkey").cast("string")), F.lit(1), F.lit(15))
+    kind = F.col("c_custkey") % 3
+    name = (
+        F.when(kind == 0, F.substr(code, F.lit(2)))
+        .when(kind == 1, F.concat(code, F.lit("zz")))
+        .otherwise(F.concat(F.lit("q"), F.substr(code, F.lit(1), F.lit(13))))
+    )
+    names = customer.select("c_custkey", name.alias("name"))
+    found = best_match(names, "name", customer.select(code.alias("code")), "code", 75)
+    return names.join(found, "name").select("c_custkey", "match", F.round("score", 6).alias("score"))
+
+
 @query("fuzzy_best_match", """
 WITH q AS (
   SELECT p_partkey, CASE p_partkey % 4

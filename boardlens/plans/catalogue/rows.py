@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boardlens.functions.dates import date_or, strict_date, tenure_years
-from boardlens.functions.text import contains_ci, degree_flags, differs, score_midpoint
+from boardlens.functions.text import (
+    MBA,
+    PHD,
+    POSTGRADUATE,
+    UNDERGRAD,
+    contains_ci,
+    degree_flags,
+    differs,
+    score_midpoint,
+)
 from boardlens.operators.rows import overwrite_where, union_later_wins
 from boardlens.plans.catalogue.registry import query
-from boardlens.sources.csvio import read_csv, snapshot, write_csv
-from boardlens.sources.html import elements, visible_text
-from boardlens.sources.runlists import explode_runs, format_run_lists, list_text, parse_lines
-from boardlens.sources.tables import pull, read_tables, scratch
+from boardlens.plans.governance import clean_scores
+from boardlens.plans.governance import companies as gov_companies
+from boardlens.sources.csvio import RANKING_YEARS, read_csv, read_rankings, write_csv
+from boardlens.sources.html import elements, first_table, visible_text
+from boardlens.sources.runlists import (
+    explode_runs,
+    format_run_lists,
+    list_text,
+    parse_lines,
+    read_run_lists,
+    write_run_lists,
+)
+from boardlens.sources.tables import pull, read_tables, scratch, snapshot
 
 
 @query("pull_filtered", """
@@ -124,26 +142,123 @@ def role_filter(spark, root):
     )
 
 
-@query("degree_flags", """
-WITH t AS (SELECT p_partkey, lower(coalesce(nullif(p_type, 'PROMO') || ' ' || p_name, '')) AS q
-           FROM part),
-     u AS (SELECT *, contains(q, 'small') OR contains(q, 'sm') OR contains(q, 'old') AS b FROM t)
-SELECT p_partkey, CAST(b AS INTEGER) AS bachelors,
-       CAST((contains(q, 'economy') OR contains(q, 'ring')) AND NOT b AS INTEGER) AS masters,
-       CAST(contains(q, 'gear') AS INTEGER) AS mba,
-       CAST(contains(q, 'anvil') OR contains(q, 'blue anvil') AS INTEGER) AS phd
-FROM u
+LEVELS = {"bachelors": UNDERGRAD, "masters": POSTGRADUATE, "mba": MBA, "phd": PHD}
+KEYWORDS = [w for words in LEVELS.values() for w in words]
+
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+def _sql_any(words: list[str]) -> str:
+    return f"len(list_filter({_sql_list(words)}, lambda w: contains(q, lower(w)))) > 0"
+
+
+@query("degree_flags", f"""
+WITH t AS (
+  SELECT p_partkey, lower(coalesce(CASE WHEN p_type = 'PROMO' THEN NULL ELSE
+           CASE p_partkey % 3 WHEN 0 THEN upper(w) WHEN 1 THEN 'Honorary ' || w ELSE w END END, '')) AS q
+  FROM (SELECT *, ({_sql_list(KEYWORDS)})[CAST(p_partkey % {len(KEYWORDS)} AS INTEGER) + 1] AS w FROM part)
+)
+SELECT p_partkey, CAST({_sql_any(UNDERGRAD)} AS INTEGER) AS bachelors,
+       CAST({_sql_any(POSTGRADUATE)} AND NOT ({_sql_any(UNDERGRAD)}) AS INTEGER) AS masters,
+       CAST({_sql_any(MBA)} AS INTEGER) AS mba, CAST({_sql_any(PHD)} AS INTEGER) AS phd
+FROM t
 """)
 def degree_flags_rows(spark, root):
+    """Every keyword of the four levels, as it is, in capitals and inside a longer text."""
     (part,) = read_tables(spark, root, "part")
-    qualification = F.concat_ws(" ", F.nullif("p_type", F.lit("PROMO")), "p_name")
-    text = F.when(F.col("p_type") != "PROMO", qualification)
-    flags = degree_flags(
-        text, ["Small", "SM", "old"], ["ECONOMY", "Ring"], ["Gear"], ["Anvil", "Blue Anvil"]
-    )
+    word = F.get(F.array(*map(F.lit, KEYWORDS)), (F.col("p_partkey") % len(KEYWORDS)).cast("int"))
+    kind = F.col("p_partkey") % 3
+    written = F.when(kind == 0, F.upper(word)).when(kind == 1, F.concat(F.lit("Honorary "), word)).otherwise(word)
+    flags = degree_flags(F.when(F.col("p_type") != "PROMO", written))
     return part.select("p_partkey", *[f.cast("int").alias(n) for n, f in flags.items()])
 
 
+@query("ranking_files", """
+WITH r AS (
+  SELECT CAST(2011 + p_partkey % 14 AS INTEGER) AS year,
+         CASE WHEN p_brand = 'Brand#1' THEN 'Reporter' WHEN p_brand <> 'Brand#2' THEN p_brand END AS rank,
+         CASE p_size % 3 WHEN 0 THEN '—' ELSE p_size::VARCHAR END AS score
+  FROM part
+)
+SELECT year, count(*) AS n, round(avg(score::DOUBLE), 6) AS score
+FROM r WHERE rank IS DISTINCT FROM 'Reporter' AND score <> '—' GROUP BY year
+""")
+def ranking_files(spark, root):
+    """Fourteen yearly files, each with its columns in another order and columns of its own."""
+    (part,) = read_tables(spark, root, "part")
+    folder = scratch(spark)
+    rows = part.select(
+        (2011 + F.col("p_partkey") % 14).alias("of"),
+        F.when(F.col("p_brand") == "Brand#1", "Reporter")
+        .when(F.col("p_brand") != "Brand#2", F.col("p_brand"))
+        .alias("rank"),
+        F.col("p_name").alias("name"),
+        F.when(F.col("p_size") % 3 == 0, "—").otherwise(F.col("p_size").cast("string")).alias("scores_overall"),
+        F.lit("UK").alias("location"),
+    )
+    names = ["rank", "name", "scores_overall", "location"]
+    for i, year in enumerate(RANKING_YEARS):
+        order = names[i % 4 :] + names[: i % 4]
+        write_csv(rows.where(F.col("of") == year).select(*order), f"{folder}/{year}_rankings.csv")
+    clean = clean_scores(read_rankings(spark, folder))
+    return clean.groupBy("year").agg(F.count("*").alias("n"), F.round(F.avg("scores_overall"), 6).alias("score"))
+
+
+@query("run_list_files", """
+SELECT 'm' || vec_id AS model, CAST(i AS INTEGER) AS run,
+       CASE WHEN vec_id % 3 = 0 THEN -1.0e0 ELSE 1.0e0 END * floor(embedding[i + 1]::DOUBLE * 1000) AS accuracy
+FROM embeddings, range(4) t(i)
+""")
+def run_list_files(spark, root):
+    """Two text files of runs; a model in both takes the later file's."""
+    lists = _vector_lists(spark, root).select(F.concat(F.lit("m"), "model").alias("model"), F.slice("values", 1, 4).alias("values"))
+    third = F.substr("model", F.lit(2)).cast("long") % 3 == 0
+    later = lists.where(third).withColumn("values", F.transform("values", lambda x: -x))
+    folder = scratch(spark)
+    write_run_lists(explode_runs(lists), f"{folder}/first")
+    write_run_lists(explode_runs(later), f"{folder}/later")
+    return read_run_lists(spark, [f"{folder}/first", f"{folder}/later"])
+
+
+@query("html_table", """
+SELECT c_custkey // 50 AS page, CAST(row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey) - 1 AS INTEGER) AS row,
+       c_name || ' & <co>' AS company, c_mktsegment AS sector
+FROM customer
+""")
+def html_table(spark, root):
+    """Customers rendered as pages of fifty table rows, and read back from the first table."""
+    (customer,) = read_tables(spark, root, "customer")
+    cells = F.concat(
+        F.lit("<tr><td>"), "c_mktsegment", F.lit("</td>\n<td class='x'><a href='#'>"), "c_name", F.lit(" &amp;\n &lt;co&gt;</a></td></tr>")
+    )
+    pages = (
+        customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct("c_custkey", cells.alias("tr")))).alias("rows"))
+        .select(
+            "page",
+            F.concat(
+                F.lit("<p>no</p><!-- <table><tr><td>old</td></tr></table> --><table id=1><tr><th>Sector</th><th>Company </th></tr>"),
+                F.array_join(F.col("rows.tr"), ""),
+                F.lit("</table><table><tr><td>2</td></tr></table>"),
+            ).alias("html"),
+        )
+    )
+    return first_table(pages, "html", {"Company": "company", "Sector": "sector"}, ["page"])
+
+
+@query("companies", """
+SELECT DISTINCT o_custkey::VARCHAR AS ticker, o_orderpriority AS spindex FROM orders WHERE year(o_orderdate) = 1998
+""")
+def companies(spark, root):
+    (orders,) = read_tables(spark, root, "orders")
+    governance = orders.select(
+        F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderpriority").alias("spindex"), F.year("o_orderdate").alias("year")
+    ).distinct()
+    return gov_companies(governance, 1998)
+
+
 @query("clean_dates", """
 WITH t AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS started,

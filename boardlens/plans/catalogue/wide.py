@@ -14,8 +14,7 @@ from boardlens.operators import features
 from boardlens.plans import governance as gov
 from boardlens.plans.catalogue.registry import query
 from boardlens.plans.experiments import BINARY, NUMERIC, prepare_features
-from boardlens.sources.csvio import snapshot
-from boardlens.sources.tables import read_tables, scratch
+from boardlens.sources.tables import read_tables, snapshot
 
 YEAR = 1998
 AS_OF = "2003-06-30"
@@ -45,7 +44,7 @@ WITH companies AS (
   FROM orders
 ), roles AS (
   SELECT l_orderkey AS companyid, l_suppkey % 25 AS directorid,
-         'D' || (l_suppkey % 25) AS directorname,
+         CASE WHEN l_partkey % 3 = 0 THEN 'D ' ELSE 'D' END || (l_suppkey % 25) AS directorname,
          CASE l_linenumber WHEN 1 THEN 'CEO' WHEN 2 THEN 'Regional CEO' WHEN 3 THEN 'CFO'
               WHEN 4 THEN 'Co-CEO' WHEN 5 THEN 'Founder/CEO' WHEN 6 THEN 'Director' END AS rolename,
          strftime(l_shipdate, '%Y-%m-%d') AS datestartrole,
@@ -73,7 +72,7 @@ WITH companies AS (
   FROM part
 ), ratios AS (
   SELECT o_custkey::VARCHAR AS ticker, o_orderdate::DATE AS qdate,
-         CASE WHEN o_orderkey % 11 > 0 THEN o_totalprice / 1e6 END AS roa
+         CASE WHEN o_orderkey % 11 > 0 AND o_orderkey % 13 > 0 THEN o_totalprice / 1e6 END AS roa
   FROM orders
 )
 """
@@ -268,7 +267,7 @@ def sources(spark, root):
         "roles": lineitem.select(
             F.col("l_orderkey").alias("companyid"),
             director.alias("directorid"),
-            F.concat(F.lit("D"), director).alias("directorname"),
+            F.concat(F.when(F.col("l_partkey") % 3 == 0, "D ").otherwise("D"), director).alias("directorname"),
             case(
                 line,
                 {
@@ -313,7 +312,9 @@ def sources(spark, root):
         "ratios": orders.select(
             firm.alias("ticker"),
             F.to_date("o_orderdate").alias("qdate"),
-            F.when(key % 11 > 0, F.col("o_totalprice") / F.lit(1e6)).alias("roa"),
+            F.when((key % 11 > 0) & (key % 13 == 0), float("nan"))
+            .when(key % 11 > 0, F.col("o_totalprice") / F.lit(1e6))
+            .alias("roa"),
         ),
     }
 
@@ -386,14 +387,22 @@ def roa_change(spark, root):
     return gov.roa_change_class(labelled)
 
 
-@query(
-    "full_assembly", WIDE + f"SELECT * REPLACE ({COUNTS_SQL}, {BOARD_FLAG_SQL}) FROM full_v0"
-)
-def full_assembly(spark, root):
-    full = _rounded(wide(spark, root), "uniscoreavg", "female_pct", "shannon", "avg_meetings")
+FULL = WIDE + f", full_rows AS (SELECT * REPLACE ({COUNTS_SQL}, {BOARD_FLAG_SQL}) FROM full_v0)"
+
+
+def rounded(full):
+    return _rounded(full, "uniscoreavg", "female_pct", "shannon", "avg_meetings")
+
+
+def as_double(full):
     return _as_double(full, *COUNTS, "diversity_board")
 
 
+@query("full_assembly", FULL + "SELECT * FROM full_rows")
+def full_assembly(spark, root):
+    return as_double(rounded(wide(spark, root)))
+
+
 def _scaled_sql():
     parts = []
     for c in [*NUMERIC, *BINARY]:
@@ -414,7 +423,7 @@ SELECT ticker, CAST(dense_rank() OVER (ORDER BY roachange) - 1 AS INTEGER) AS la
 FROM complete
 """)
 def feature_frame(spark, root):
-    frame = prepare_features(snapshot(full_assembly(spark, root), scratch(spark))).frame
+    frame = prepare_features(snapshot(full_assembly(spark, root))).frame
     x = vector_to_array("features")
     return frame.select(
         "ticker",
@@ -462,6 +471,16 @@ def onehot_counts(spark, root):
     return encoded.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
 
 
+@query("indicator_slots", """
+SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS slot FROM orders
+""")
+def indicator_slots(spark, root):
+    """One slot per customer, without an index on the driver."""
+    (orders,) = read_tables(spark, root, "orders")
+    slots = features.indicator_slots(orders.select("o_orderkey", "o_custkey"), "o_custkey", "slot")
+    return slots.select("o_orderkey", "slot")
+
+
 @query("standardise", """
 SELECT o_orderkey,
        round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER (), 6)
@@ -491,12 +510,14 @@ def class_weights(spark, root):
 
 
 @query("hash_split", """
-SELECT o_orderkey, CAST(
-  CAST('0x' || substr(md5(o_orderkey::VARCHAR || '#42'), 1, 8) AS BIGINT) % 100 < 20 AS INTEGER)
+SELECT o_orderkey, CAST(coalesce(
+  CAST('0x' || substr(md5(o_orderkey::VARCHAR || '#42'), 1, 8) AS BIGINT) % 100 < 20, FALSE) AS INTEGER)
   AS is_test
-FROM orders
+FROM (SELECT CASE WHEN o_orderkey % 31 > 0 THEN o_orderkey END AS o_orderkey FROM orders)
 """)
 def hash_split(spark, root):
+    """Rows without a key train."""
     (orders,) = read_tables(spark, root, "orders")
-    train, test = features.hash_split(orders.select("o_orderkey"), "o_orderkey", seed=42)
+    keys = orders.select(F.when(F.col("o_orderkey") % 31 > 0, F.col("o_orderkey")).alias("o_orderkey"))
+    train, test = features.hash_split(keys, "o_orderkey", seed=42)
     return train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))

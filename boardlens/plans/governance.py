@@ -32,10 +32,11 @@ from boardlens.operators.aggregates import (
     shannon,
 )
 from boardlens.operators.fuzzy import best_match
-from boardlens.operators.joins import earliest_other, keep_matching, null_safe_left
-from boardlens.operators.rows import overwrite_where
+from boardlens.operators.joins import keep_matching, null_safe_left, preceded_by_other
+from boardlens.operators.rows import nan_to_null, overwrite_where
 from boardlens.operators.windows import first_of_newest, row_lag
 from boardlens.sources.html import first_table
+from boardlens.sources.tables import snapshot
 
 # Marker of joint chief executives and the year that sorts them first.
 CO_CEO = {"directorname": "Co-CEO", "directorid": 12345, "rolename": "CO-CEO"}
@@ -70,7 +71,7 @@ def universities(rankings: DataFrame) -> DataFrame:
         clean_scores(rankings)
         .where(F.col("name").isNotNull())
         .groupBy("name")
-        .agg(F.avg("scores_overall").alias("uniscoreavg"))
+        .agg(F.avg(F.when(~F.isnan("scores_overall"), F.col("scores_overall"))).alias("uniscoreavg"))
     )
 
 
@@ -110,21 +111,30 @@ def director_degrees(
     )
 
 
-def ceo_spells(held: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """One row per (ticker, director, name, role) of the chief-executive roles in ``held``.
+def role_spans(held: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """One row per (ticker, director, name, role): first and latest start and the latest end.
+
+    The one pass over the roles; everything about chief executives follows from this table.
+    """
+    start = F.col("datestartrole")
+    return held.groupBy(*ROLE_KEYS).agg(
+        F.min(strict_date(F.when(is_ceo(F.col("rolename")), start))).alias("start"),
+        F.min(lenient_date(start)).alias("earliest_start"),
+        F.max(lenient_date(start)).alias("latest_start"),
+        F.max(date_or(F.col("dateendrole"), as_of)).alias("end"),
+    )
+
+
+def ceo_spells(spans: DataFrame) -> DataFrame:
+    """The chief-executive roles among ``role_spans``, with tenure and flags.
 
     ``_key`` keeps the keys as they were before joint chief executives get one marker.
     """
     role = F.col("rolename")
     spells = (
-        held.where(is_ceo(role))
+        spans.where(is_ceo(role))
         .dropna(subset=ROLE_KEYS)
-        .groupBy(*ROLE_KEYS)
-        .agg(
-            F.min(strict_date(F.col("datestartrole"))).alias("start"),
-            F.max(lenient_date(F.col("datestartrole"))).alias("latest_start"),
-            F.max(date_or(F.col("dateendrole"), as_of)).alias("end"),
-        )
+        .drop("earliest_start", "latest_start")
         .withColumns(
             {
                 "_key": F.struct("directorid", "directorname", "rolename"),
@@ -138,6 +148,21 @@ def ceo_spells(held: DataFrame, as_of: dt.date | str) -> DataFrame:
     return overwrite_where(spells, F.col("is_co_ceo"), CO_CEO | {"validstart": CO_CEO_YEAR})
 
 
+def promotions(spans: DataFrame) -> DataFrame:
+    """(ticker, directorid, rolename) of chief-executive roles that another role came before.
+
+    Roles of one director count together however the name is written.
+    """
+    role = F.col("rolename")
+    return preceded_by_other(
+        spans.withColumn("_start", F.when(contains_ci(role, "CEO"), F.col("latest_start")).otherwise(F.col("earliest_start"))),
+        ["ticker", "directorid"],
+        "rolename",
+        contains_ci(role, "CEO"),
+        F.col("_start"),
+    )
+
+
 def ceo_background(
     companies: DataFrame,
     roles: DataFrame,
@@ -150,29 +175,20 @@ def ceo_background(
     """One row per ticker about its current chief executive; open end dates mean ``as_of``.
 
     The current one is the first row, in key order, of the director who started last. Degrees
-    and earlier roles are looked up for that row only.
+    and earlier roles are looked up for that row only. Roles are read once, into a stored table.
     """
-    role = F.col("rolename")
     listed = companies.where(F.col("ticker").isNotNull()).select("ticker").distinct()
     held = keep_matching(firm_roles(roles, orgs), listed, ["ticker"])
+    spans = snapshot(role_spans(held, as_of))
     current = first_of_newest(
-        ceo_spells(held, as_of), "ticker", "directorid", "validstart", ["_key"]
-    ).withColumns({"directorid": F.col("_key.directorid")})
-    other = earliest_other(
-        held,
-        ["ticker", "directorid"],
-        contains_ci(role, "CEO"),
-        lenient_date(F.col("datestartrole")),
-        "other_start",
-    )
-    executives = roles.where(is_ceo(role)).select("directorid").distinct()
-    degrees = director_degrees(education, universities, executives, cutoff)
-    promoted = F.col("latest_start") >= F.col("other_start")
+        ceo_spells(spans), "ticker", "directorid", "validstart", ["_key"]
+    ).withColumns({"directorid": F.col("_key.directorid"), "rolename": F.col("_key.rolename")})
+    degrees = director_degrees(education, universities, current.select("directorid").distinct(), cutoff)
+    promoted = promotions(spans).withColumn("internal_promotion", F.lit(True))
     return (
-        current.join(other, ["ticker", "directorid"], "left")
+        current.join(promoted, ["ticker", "directorid", "rolename"], "left")
         .join(degrees, "directorid", "left")
-        .withColumn("internal_promotion", F.coalesce(promoted, F.lit(False)))
-        .withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in DEGREES})
+        .withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ["internal_promotion", *DEGREES]})
         .select(
             "ticker", "uniscoreavg", *DEGREES, "internal_promotion", "tenure", "founder",
             "is_co_ceo",
@@ -273,13 +289,10 @@ def last_change(
     out: str = "change",
 ) -> DataFrame:
     """Per key the last known change of ``value`` against ``lag`` distinct rows earlier."""
-    rows = series.select(*dict.fromkeys([key, *order, value]))
+    rows = nan_to_null(series.select(*dict.fromkeys([key, *order, value])))
     lagged = row_lag(rows.distinct(), key, order, value, lag, "_prev", count_from=series)
-    lagged = lagged.dropna(subset=["_prev"])
-    change = F.col(value) - F.col("_prev")
-    return lagged.groupBy(key).agg(
-        last_non_null(change, *[F.col(c) for c in order]).alias(out)
-    )
+    changed = lagged.dropna(subset=["_prev"]).withColumn("_change", F.col(value) - F.col("_prev"))
+    return last_non_null(changed, key, "_change", order, out)
 
 
 def roa_change(ratios: DataFrame, lag: int = 4) -> DataFrame:

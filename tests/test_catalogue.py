@@ -26,9 +26,3 @@ def test_matches_sql(spark, db, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
     assert QUERIES[name](spark, ROOT).count() > 0
-
-
-def test_accuracies_are_shares(spark):
-    rows = QUERIES["accuracy_table"](spark, ROOT).collect()
-    assert len(rows) == 9
-    assert all(0.0 <= r["accuracy"] <= 1.0 for r in rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -12,7 +13,18 @@ from boardlens.operators.features import hash_split
 from boardlens.operators.models import Size, accuracy, registry, repeated_runs
 from boardlens.plans.experiments import BINARY, NUMERIC, prepare_features, score_all
 
-SMALL = {"max_trees": 5, "max_rounds": 3, "max_iter": 20, "max_depth": 4}
+
+
+def small(name: str, classes: int = 3, features: int = 4):
+    """A registered model with a shorter estimator, to keep the tests quick."""
+    model = registry(Size(features, classes))[name]
+    kind = name.split("_")[0]
+    estimator = model.estimator.copy()
+    if kind == "rf":
+        estimator = estimator.setNumTrees(5).setMaxDepth(4)
+    elif kind in ("gbm", "xgb"):
+        estimator = estimator.setClassifier(estimator.getClassifier().copy().setMaxIter(3).setMaxDepth(4))
+    return replace(model, estimator=estimator)
 
 
 @pytest.fixture(scope="module")
@@ -28,17 +40,18 @@ def separable(spark):
 
 
 def test_registry_names():
-    names = registry(Size(4, 3, 100))
+    names = registry(Size(4, 3))
     assert len(names) == 20
     assert {n.split("_")[0] for n in names} == {"rf", "gbm", "svm", "xgb", "logreg", "cnn"}
 
 
 def test_full_size_settings(spark):
-    models = registry(Size(17, 7, 1000))
+    models = registry(Size(17, 7))
     forest = models["rf_model_1"].estimator
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 30)
     assert models["cnn_model_4"].estimator.getLayers() == [17, 256, 128, 64, 7]
-    assert models["logreg_model_1"].estimator.getRegParam() == pytest.approx(1 / 500)
+    assert models["svm_model_1"].estimator.getClassifier().getMaxIter() == 1000
+    assert models["cnn_model_1"].estimator.getSeed() != models["cnn_model_2"].estimator.getSeed()
     assert models["gbm_model_1"].estimator.getClassifier().getStepSize() == 0.05
     assert models["xgb_model_1"].estimator.getClassifier().getMaxDepth() == 8
 
@@ -49,7 +62,7 @@ def test_full_size_settings(spark):
      "logreg_model_2", "logreg_model_3", "cnn_model_3"],
 )
 def test_learns(separable, name):
-    model = registry(Size(4, 3, 240, **SMALL))[name]
+    model = small(name)
     train, test = hash_split(separable, "k")
     scored = model.predict(model.fit(train), test)
     assert scored.columns == ["k", "features", "label", "prediction"]
@@ -58,15 +71,16 @@ def test_learns(separable, name):
 
 
 def test_repeated_runs(separable):
-    models = {"m": registry(Size(4, 3, 240, **SMALL))["rf_model_2"]}
+    models = {"m": small("rf_model_2")}
     first = repeated_runs(separable, models, "k", runs=3).collect()
     again = repeated_runs(separable, models, "k", runs=[1]).collect()
     assert [(r["model"], r["run"]) for r in first] == [("m", 0), ("m", 1), ("m", 2)]
+    assert all(r["n_train"] + r["n_test"] == 240 for r in first)
     assert again[0]["accuracy"] == first[1]["accuracy"]
 
 
 def test_failures_surface(separable):
-    broken = registry(Size(9, 3, 240, **SMALL))["cnn_model_3"]
+    broken = registry(Size(9, 3))["cnn_model_3"]
     with pytest.raises(Exception):
         repeated_runs(separable, {"m": broken}, "k", runs=1)
 
@@ -100,7 +114,7 @@ def test_prepare_features(wide, fit_on):
 
 
 def test_score_all(wide):
-    model = registry(Size(17, 2, 119, **SMALL))["cnn_model_3"]
+    model = registry(Size(17, 2))["cnn_model_3"]
     final, held_out = score_all(prepare_features(wide), model)
     assert final.columns == [c for c in wide.columns if c != "roachange"] + ["roapredicted"]
     rows = final.collect()
@@ -109,3 +123,45 @@ def test_score_all(wide):
     hits = sum(truth[r["ticker"]] == r["roapredicted"] for r in rows)
     assert hits > 110
     assert held_out.first()["accuracy"] > 0.9
+
+
+def test_penalty_follows_from_the_weights_that_are_fitted(separable):
+    """Ridge strength 1 / (C * sum of weights): doubled rows and doubled C give equal coefficients."""
+    model = registry(Size(4, 3))["logreg_model_3"]
+    once = model.fit(separable)
+    weights = {0.0: 1.0, 1.0: 2.0, 2.0: 3.0}
+    total = sum(weights[r["label"]] for r in separable.collect())
+    assert once.getRegParam() == pytest.approx(1 / total)
+    twice = replace(model, inverse_penalty=0.5).fit(separable.union(separable))
+    a, b = once.coefficientMatrix.toArray(), twice.coefficientMatrix.toArray()
+    assert abs(a - b).max() < 1e-3 * abs(a).max()
+    margin = registry(Size(4, 3))["svm_model_1"]
+    assert margin.inverse_penalty == 1.0 and margin.fit(separable).models[0].getRegParam() == pytest.approx(1 / 240)
+
+
+def test_rows_without_a_key_train(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3), ("c", 4)], "k string, v int")
+    train, test = hash_split(df, "k")
+    assert train.count() + test.count() == 4 and train.where("k IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("classes", [2, 500])
+def test_balanced_weights_keep_the_columns(spark, classes):
+    from boardlens.operators.features import balanced_weights
+
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % classes).alias("lab"))
+    out = balanced_weights(df.union(spark.createDataFrame([(1000, None)], df.schema)), "lab")
+    assert out.columns == ["k", "lab", "weight"] and out.count() == 1001
+    rows = out.collect()
+    assert all(r["weight"] == pytest.approx(1.0) for r in rows if r["lab"] is not None)
+    assert [r["weight"] for r in rows if r["lab"] is None] == [None]
+
+
+def test_slots_equal_the_encoders(spark):
+    from boardlens.operators.features import fit_labels, indicator_slots
+
+    df = spark.range(200).select(F.when(F.col("id") % 9 > 0, F.md5((F.col("id") % 37).cast("string"))).alias("v"))
+    got = {(r["v"], r["s"]) for r in indicator_slots(df, "v", "s").collect()}
+    full = df.dropna()
+    want = {(r["v"], int(r["s"])) for r in fit_labels(full, "v", "s").transform(full).collect()}
+    assert got == want | {(None, None)}

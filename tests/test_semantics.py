@@ -197,8 +197,9 @@ def test_shannon(spark):
 def test_last_non_null_and_rollup(spark):
     table = [("a", 1, 5.0, True, 2), ("a", 2, None, False, 3), ("b", 1, None, False, 1)]
     df = spark.createDataFrame(table, "k string, o int, v double, f boolean, t int")
-    last = df.groupBy("k").agg(aggregates.last_non_null(F.col("v"), F.col("o")).alias("v"))
-    assert as_set(last, "k", "v") == {("a", 5.0), ("b", None)}
+    nan = spark.createDataFrame([("a", 3, float("nan"), True, 1)], df.schema)
+    last = aggregates.last_non_null(df.union(nan), "k", "v", ["o"], "last")
+    assert as_set(last, "k", "last") == {("a", 5.0), ("b", None)}
     out = aggregates.firm_rollup(df, "k", ["o"], ["v"], any_of=["f"], total=["t"])
     assert as_set(out, "k", "v", "f", "t") == {("a", 5.0, True, 5), ("b", None, False, 1)}
 
@@ -229,13 +230,6 @@ def test_class_weights(spark):
     assert as_set(listed, "label", "weight") == {("a", 2.0), ("b", 1.0)}
 
 
-def test_class_weights_beyond_the_map(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CLASSES", 1)
-    df = spark.createDataFrame([("a",)] * 3 + [("b",)], "label string")
-    got = as_set(features.balanced_weights(df, "label"), "label", "weight")
-    assert got == {("a", 4 / 6), ("b", 2.0)}
-
-
 def test_labels_and_one_hot(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "y string")
     model = features.fit_labels(df, "y", "i")

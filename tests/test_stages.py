@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from boardlens import schemas
 from boardlens.plans import governance as gov
@@ -161,3 +162,40 @@ def test_no_row_pairs_in_the_plans(stages):
     for name in ("ceo", "div", "board"):
         plan = stages[name]._jdf.queryExecution().optimizedPlan().toString()
         assert "Join Cross" not in plan and "CartesianProduct" not in plan
+
+
+def test_director_written_two_ways(spark, warehouse):
+    """An earlier role counts however the name is written, for the latest start of the title."""
+    roles = spark.createDataFrame(
+        [(1, 9, "Ann B Lee", "CEO", "2005-01-01", None), (1, 9, "Ann Lee", "CFO", "2010-01-01", None),
+         (1, 9, "Ann Lee", "CEO", "2012-01-01", None)],
+        schemas.ROLES,
+    )
+    w = warehouse
+    out = gov.ceo_background(
+        gov.companies(w["governance"]), roles, w["orgs"], w["education"], gov.universities(w["rankings"]), AS_OF
+    )
+    assert by_ticker(out)["AAA"]["internal_promotion"] is True
+
+
+def test_nan_is_a_missing_ratio(spark):
+    table = [("A", dt.date(2020 + q // 4, 3 * (q % 4) + 1, 1), float(q)) for q in range(6)]
+    table += [("A", dt.date(2022, 1, 1), float("nan")), ("B", dt.date(2022, 1, 1), float("nan"))]
+    out = gov.roa_change(spark.createDataFrame(table, schemas.RATIOS)).collect()
+    assert [(r["ticker"], r["roachange"]) for r in out] == [("A", 4.0)]
+
+
+def test_pipeline_reads_what_it_wrote(spark, warehouse, stages, tmp_path):
+    from boardlens.plans import pipeline
+
+    root = str(tmp_path)
+    extra = {n: df.withColumn("more", F.lit(1)) for n, df in warehouse.items()}
+    out = pipeline.stage_tables(extra, root, AS_OF)
+    for name, direct in [("ceo_v0", stages["ceo"]), ("board_v0", stages["board"]), ("div_v0", stages["div"]), ("roa_v0", stages["roa"])]:
+        stored = spark.read.parquet(f"{root}/{name}")
+        assert stored.columns == direct.columns and set(stored.collect()) == set(direct.collect())
+    full = out["full_v0"].withColumn("uniscoreavg", F.coalesce("uniscoreavg", F.lit(50.0)))
+    final = pipeline.predict(full, root, "cnn_model_3")
+    stored = spark.read.parquet(f"{root}/final")
+    assert final.columns == [*[c for c in full.columns if c != "roachange"], "roapredicted"]
+    assert {r["ticker"] for r in stored.collect()} == {"AAA", "BBB"}

@@ -8,7 +8,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from boardlens.operators import windows
 from boardlens.operators.windows import first_of_newest, first_per_key, row_lag
 from boardlens.plans import governance as gov
 
@@ -39,11 +38,13 @@ def test_split_lag_equals_pandas(spark, split_rows, gap):
     assert got == want
 
 
-def test_split_lag_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(windows, "MAX_RUNS", 1)
-    df = series(spark, {"hot": 60, "a": 9})
-    split = row_lag(df, "k", ["d", "i"], "v", 4, "prev", 5)
-    assert set(split.collect()) == set(row_lag(df, "k", ["d", "i"], "v", 4, "prev").collect())
+@pytest.mark.parametrize("order", [["i"], ["i", "d"], ["day", "i"]])
+def test_any_order_column_on_both_ways(spark, order):
+    """All rows of one day, integer order and null dates split like others."""
+    df = series(spark, {"hot": 60, "a": 9}, gap=lambda i: 0).withColumn("day", F.lit(None).cast("date"))
+    split = row_lag(df, "k", order, "v", 4, "prev", 5)
+    plain = row_lag(df, "k", order, "v", 4, "prev")
+    assert split.columns == plain.columns and set(split.collect()) == set(plain.collect())
 
 
 def test_undated_rows_come_first(spark):
