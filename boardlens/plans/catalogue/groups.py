@@ -314,5 +314,5 @@ def lag_long_keys(spark, root):
     (events,) = read_tables(spark, root, "events")
     day = F.when(F.col("event_id") % 7 > 0, F.to_date("ts"))
     rows = events.select("event_type", day.alias("day"), "event_id", "value")
-    lagged = row_lag(rows, "event_type", ["day", "event_id"], "value", 3, "before", split_rows=50)
+    lagged = row_lag(rows, "event_type", ["day", "event_id"], "value", 3, "before", split_rows=500)
     return lagged.select("event_type", "event_id", F.round("before", 6).alias("before"))

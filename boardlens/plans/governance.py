@@ -180,9 +180,10 @@ def ceo_background(
     listed = companies.where(F.col("ticker").isNotNull()).select("ticker").distinct()
     held = keep_matching(firm_roles(roles, orgs), listed, ["ticker"])
     spans = snapshot(role_spans(held, as_of))
-    current = first_of_newest(
-        ceo_spells(spans), "ticker", "directorid", "validstart", ["_key"]
-    ).withColumns({"directorid": F.col("_key.directorid"), "rolename": F.col("_key.rolename")})
+    newest = first_of_newest(ceo_spells(spans), "ticker", "directorid", "validstart", ["_key"])
+    current = snapshot(
+        newest.select("ticker", "_key.directorid", "_key.rolename", "tenure", "founder", "is_co_ceo")
+    )
     degrees = director_degrees(education, universities, current.select("directorid").distinct(), cutoff)
     promoted = promotions(spans).withColumn("internal_promotion", F.lit(True))
     return (
