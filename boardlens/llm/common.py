@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlens.sources.tables import scratch
+from boardlens.sources.tables import drop_snapshots, snapshot
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -17,20 +17,12 @@ def written(df: DataFrame) -> DataFrame:
     Lost executors cost at most the tasks since the last written table. Nothing is kept on one
     machine: the folder is below ``spark.checkpoint.dir``.
     """
-    spark = df.sparkSession
-    path = scratch(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return snapshot(df)
 
 
 def remove(*tables: DataFrame) -> None:
     """Delete tables made by ``written`` that no later plan reads."""
-    for df in tables:
-        jvm = df.sparkSession._jvm
-        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    drop_snapshots(*tables)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
