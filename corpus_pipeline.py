@@ -21,16 +21,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group stays, with one row; rows without an id stay."""
-    seen = near_duplicates(docs)
+    """The smallest id of each group stays, with one row for each of its texts that isn't like another; rows without an id stay."""
+    key, known = F.xxhash64("text"), docs.filter("doc_id IS NOT NULL")
+    texts = known.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    if texts.filter("lo <> hi").isEmpty():
+        return _one_of_each(docs, "doc_id")
+    # ids with several texts: numbers in the order of ids stand for each id and text
+    pairs = known.select(F.col("doc_id").alias("__d"), key.alias("__k")).distinct()
+    numbers = written(pairs.orderBy("__d", "__k").withColumn("__pair", F.monotonically_increasing_id()))
+    rows = docs.join(numbers, (F.col("doc_id") == F.col("__d")) & (key == F.col("__k")), "left").select(*docs.columns, "__pair")
+    return _one_of_each(written(rows), "__pair").select(*docs.columns)
+
+
+def _one_of_each(docs: DataFrame, doc_id: str) -> DataFrame:
+    """The smallest ``doc_id`` of each group, with one row, and rows without one."""
+    seen = near_duplicates(docs, doc_id)
     marks = written(
         seen.filter("doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").alias("__id"))
         .agg(F.max((~F.col("kept")).cast("int")).alias("__gone"), F.count("*").alias("__rows"))
         .filter("__gone = 1 OR __rows > 1")
     )
-    once = docs.join(marks.select("__id"), F.col("doc_id") == F.col("__id"), "left_anti")
-    again = docs.join(marks.filter("__gone = 0"), F.col("doc_id") == F.col("__id"))
+    once = docs.join(marks.select("__id"), F.col(doc_id) == F.col("__id"), "left_anti")
+    again = docs.join(marks.filter("__gone = 0"), F.col(doc_id) == F.col("__id"))
     first = again.withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy(*docs.columns)))
     return once.union(first.filter("__n = 1").select(*docs.columns))
 

@@ -71,3 +71,13 @@ def test_edge_rows(spark):
     for name, stage in cp.STAGES:
         empty = written(stage(spark, empty, ROOT))
         assert empty.count() == 0
+
+
+def test_other_texts_of_a_repeated_id_stay(spark):
+    a, b, c = ("".join(f"{w}{i} " for i in range(60)) for w in "abc")
+    rows = [(1, a, 0), (1, a, 1), (1, b, 2), (2, a + "end", 3), (3, b, 4), (2, c, 5), (4, None, 6), (None, a, 7), (None, a, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    out = cp.drop_near_duplicates(spark, docs, ROOT)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text or "") for r in out.collect()))
+    assert got == sorted([(0, a), (0, a), (1, a), (1, b), (2, c), (4, "")])
