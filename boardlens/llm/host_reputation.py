@@ -3,7 +3,7 @@
 Outcomes of labelled pages are counted by host, registered domain and suffix. Each level's beta prior
 is centred on the posterior mean of the level above; its weight comes from the spread between the level's
 groups (method of moments), so levels that differ little borrow much. A page without a rule is judged by
-an upper bound of its host's posterior share of bad pages.
+an upper bound of its host's posterior share of bad pages. A host that is an IP address is a domain of its own.
 """
 
 from __future__ import annotations
@@ -21,8 +21,11 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Suffixes of two labels below which names are registered; others have one label.
+#: Suffixes of two labels below which names are registered; others have one label. ``judge`` takes a table instead.
 SUFFIXES = ("co.uk", "org.uk", "com.au", "co.jp", "com.br")
+#: Host names that are addresses, and what stands for their suffix; no label has brackets.
+ADDRESS = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*\])$"
+NO_SUFFIX = "[ip]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Least and largest share of the variance that lies between the groups of a level.
 SPREAD = (1e-4, 0.9)
@@ -35,12 +38,52 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _name(host: Column) -> Column:
+    """The host without user, port and a last dot."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@|:[0-9]*$", ""), r"\.$", "")
+
+
 def domain_and_suffix(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
-    """Registered domain and public suffix; user, port and a last dot don't count."""
-    name = F.regexp_replace(F.regexp_replace(host, r"^.*@|:[0-9]*$", ""), r"\.$", "")
+    """Registered domain and public suffix; user, port and a last dot don't count. An address is its own domain."""
+    name = _name(host)
     last = lambda n: F.substring_index(name, ".", -n)
-    two = last(2).isin(*suffixes)
-    return F.when(two, last(3)).otherwise(last(2)), F.when(two, last(2)).otherwise(last(1))
+    two, address = last(2).isin(*suffixes), name.rlike(ADDRESS)
+    return (
+        F.when(address, name).when(two, last(3)).otherwise(last(2)),
+        F.when(address, NO_SUFFIX).when(two, last(2)).otherwise(last(1)),
+    )
+
+
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` (distinct in host, n, bad) with domain and suffix, by the longest of ``suffixes`` (suffix) that a host ends in.
+
+    Without a table SUFFIXES holds. A host that ends in no listed suffix has its last label as suffix; a
+    suffix alone is its own domain. Listed suffixes are plain names, so wildcards must be written out.
+    """
+    if suffixes is None:
+        domain, suffix = domain_and_suffix(F.col("host"))
+        return hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad")
+    name = _name(F.col("host"))
+    labels = F.split(name, r"\.")
+    tail = lambda at: F.array_join(F.slice(labels, at, F.size(labels)), ".")
+    listed = suffixes.select(F.translate("suffix", UPPER, LOWER).alias("tail")).filter("tail <> ''").distinct().withColumn("hit", F.lit(True))
+    places = F.sequence(F.lit(1), F.size(labels))
+    tails = hosts.select("host", "n", "bad", F.explode(F.transform(places, lambda at: F.struct(at.alias("at"), tail(at).alias("tail")))).alias("t"))
+    found = (
+        tails.select("host", "n", "bad", "t.*")
+        .join(listed, "tail", "left")
+        .groupBy("host", "n", "bad")
+        .agg(F.min(F.when(F.col("hit"), F.col("at"))).alias("at"))
+        .withColumn("at", F.coalesce("at", F.size(labels)))
+    )
+    address = name.rlike(ADDRESS)
+    return found.select(
+        "host",
+        F.when(address, name).otherwise(tail(F.greatest(F.col("at") - 1, F.lit(1)))).alias("domain"),
+        F.when(address, NO_SUFFIX).otherwise(tail(F.col("at"))).alias("suffix"),
+        "n",
+        "bad",
+    )
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -95,6 +138,7 @@ def judge(
     rules=RULES,
     max_bad: float = 0.5,
     z: float = 1.6448536269514722,
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, bad_share, bad_bound.
 
@@ -102,18 +146,18 @@ def judge(
     host's posterior; without a rule a page is blocked if it lies above ``max_bad``. Urls that are null or
     without ``://`` have an empty host, which is judged like any other. Pages with several outcomes count as
     bad if one is; null outcomes and ids don't count; repeated pages count each. Without any outcome the
-    prior alone decides. An empty table gives no rows; other columns don't matter.
+    prior alone decides. An empty table gives no rows; other columns don't matter. suffixes: a table of
+    public suffixes (suffix) instead of the few built in.
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     known = outcomes.filter("bad IS NOT NULL").groupBy(F.col("page_id").alias("labelled")).agg(F.max("bad").alias("bad"))
-    domain, suffix = domain_and_suffix(F.col("host"))
-    counts = written(
+    hosts = (
         rows.join(known, rows.page_id == known.labelled, "left")
         .groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad")
     )
+    counts = written(with_domains(hosts, suffixes))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     bound = F.col("mean") + z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return (

@@ -63,3 +63,32 @@ def test_registered_domains(spark):
     domain, suffix = hr.domain_and_suffix(F.col("h"))
     got = [tuple(r) for r in spark.createDataFrame([(h,) for h in hosts], "h string").select(domain, suffix).collect()]
     assert got == [("example.com", "com"), ("example.com", "com"), ("com", "com"), ("", ""), ("y.co.uk", "co.uk"), ("co.uk", "co.uk"), ("x.org", "org")]
+
+
+def test_a_table_of_suffixes(spark):
+    hosts = ["a.x.com.cn", "y.com.cn", "com.cn", "p.github.io", "q.github.io", "u@z.b.c.kobe.jp:8", "w.plain.org", "10.0.7.9", "[::1]:80", ""]
+    rows = spark.createDataFrame([(h, 1, 0) for h in hosts], "host string, n long, bad long")
+    listed = spark.createDataFrame([(s,) for s in ["cn", "com.cn", "COM.CN", "io", "github.io", "jp", "c.kobe.jp"]], "suffix string")
+    got = {r.host: (r.domain, r.suffix) for r in hr.with_domains(rows, listed).collect()}
+    assert got == {
+        "a.x.com.cn": ("x.com.cn", "com.cn"), "y.com.cn": ("y.com.cn", "com.cn"), "com.cn": ("com.cn", "com.cn"),
+        "p.github.io": ("p.github.io", "github.io"), "q.github.io": ("q.github.io", "github.io"),
+        "u@z.b.c.kobe.jp:8": ("b.c.kobe.jp", "c.kobe.jp"), "w.plain.org": ("plain.org", "org"),
+        "10.0.7.9": ("10.0.7.9", "[ip]"), "[::1]:80": ("[::1]", "[ip]"), "": ("", ""),
+    }
+    plain = {r.host: r.domain for r in hr.with_domains(rows).collect()}
+    assert plain["10.0.7.9"] == "10.0.7.9" and plain["a.x.com.cn"] == "com.cn"
+
+
+def test_sites_below_a_listed_suffix_are_judged_apart(spark):
+    """Many bad sites below one suffix do not carry over to a host of another registered domain as its own domain would."""
+    hosts = [("evil.github.io", 1, 60), ("www.good.github.io", 0, 60), ("new.good.github.io", None, 1)]
+    rows, outcomes = [], []
+    for h, bad, n in hosts:
+        for _ in range(n):
+            rows.append((len(rows), f"http://{h}/"))
+            if bad is not None:
+                outcomes.append((len(rows) - 1, bad))
+    pages, labels = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad int")
+    share = lambda s: {r.host: r.bad_share for r in hr.judge(pages, labels, suffixes=s).collect()}["new.good.github.io"]
+    assert share(spark.createDataFrame([("github.io",)], "suffix string")) < 0.2 < 0.4 < share(None)
