@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlens.llm.common import table
+from boardlens.llm.exact_dedup import exact_duplicates
 from boardlens.llm.host_reputation import judge
 from boardlens.llm.language_id import fit_languages, identify
 from boardlens.llm.mixing import fit_domains, fit_mixture, memberships, repeats
@@ -226,3 +227,16 @@ def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
     outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     return judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op13_exact_dedup",
+    """
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+    """,
+)
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
