@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlens.llm.common import table
+from boardlens.llm.conversation_repair import damaged, repair, report, summaries
 from boardlens.llm.exact_dedup import exact_duplicates
 from boardlens.llm.host_reputation import judge
 from boardlens.llm.language_id import fit_languages, identify
@@ -240,3 +241,9 @@ def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return report(rows, summaries(repair(damaged(rows))))
