@@ -19,6 +19,7 @@ from boardlens.llm.near_vectors import near_vectors
 from boardlens.llm.packing import pack
 from boardlens.llm.quality import fit_quality, score_quality
 from boardlens.llm.secret_scan import digest, secrets
+from boardlens.llm.token_alignment import align_documents
 from boardlens.llm.topk import quantised, top_k
 from boardlens.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -247,3 +248,9 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return report(rows, summaries(repair(damaged(rows))))
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_documents(table(spark, sf_dir, "documents"), *files)
