@@ -7,7 +7,6 @@ sets the temperature of the probabilities.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,12 +22,12 @@ from boardlens.llm.ngrams import Counter
 
 ORDERS = range(1, 4)
 BITS = 15
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and LETTER.search(text) is not None
+    """Whether any character is a letter (Unicode category L)."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 @dataclass
@@ -72,7 +71,7 @@ def _gather(docs: DataFrame) -> DataFrame:
                 at, count = counter(text.lower())
                 df[at] += 1
                 if weight is not None:
-                    picked.append((i, label, weight, at.astype("<u2").tobytes(), np.minimum(count, 65535).astype("<u2").tobytes()))
+                    picked.append((i, label, weight, at.astype("<u2").tobytes(), count.astype("<i8").tobytes()))
             if picked:
                 none = [None] * len(picked)
                 yield rows(none, none, *map(list, zip(*picked, strict=True)))
@@ -104,7 +103,7 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     features = []
     for r in sample:
         at = np.frombuffer(r["at"], "<u2").astype(np.int64)
-        features.append((at, model.features(at, np.frombuffer(r["count"], "<u2"))))
+        features.append((at, model.features(at, np.frombuffer(r["count"], "<i8"))))
     y = np.array([classes.index(r.label) for r in sample])
     part = part_of([r.doc_id for r in sample])
     fits = (part != 0) if (part != 0).any() and (part == 0).any() else np.ones(len(y), bool)

@@ -13,6 +13,7 @@ lengths, and to look up the place of each rank.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -45,8 +46,8 @@ class Encoder:
     The tokenizer lower-cases and then splits at white space and between letters or digits and signs, and
     no rule looks across. So the ids of a text are those of its blank-separated parts in a row, and a stop
     or comma between a word and a blank is a part of its own. Parts are encoded once and remembered for
-    all tasks of a process, up to a number; when many are missed the table starts anew. Strings of special
-    tokens in a text are ordinary text.
+    all tasks of a process, up to a number; when many are missed the table starts anew. Added tokens are
+    found in the raw text before it is split, as the tokenizer does: texts that hold one are encoded whole.
     """
 
     def __init__(self, file: str) -> None:
@@ -55,17 +56,18 @@ class Encoder:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(file)
-            tokenizer.encode_special_tokens = True
             vocabulary = tokenizer.get_vocab()
             last = np.zeros(max(vocabulary.values()) + 1, bool)
             last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-            _LOADED[file] = tokenizer, last
-        self.tokenizer, self.last = _LOADED[file]
+            added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+            _LOADED[file] = tokenizer, last, re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        self.tokenizer, self.last, self.added = _LOADED[file]
         self.known = process_table(file)
         self.missed = 0
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.parts(t) if t else [] for t in texts]
+        whole = {i for i, t in enumerate(texts) if t and self.added.search(t)}
+        split = [self.parts(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         known = self.known
         new = set().union(*split).difference(known)
         full = len(known) + len(new) > MEMORY
@@ -74,6 +76,8 @@ class Encoder:
             known.update(self._words(words[k : k + TOGETHER]))
         known.update(self._each([p for p in new if not p.isalpha()]))
         out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for i, (_, ids) in zip(sorted(whole), self._each([texts[i] for i in sorted(whole)]), strict=True):
+            out[i] = ids
         if full:
             self.missed += len(new)
         if self.missed > 4 * MEMORY:

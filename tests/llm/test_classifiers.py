@@ -34,6 +34,29 @@ def test_language_of_held_out_documents(spark):
     assert (out["lang"] == out["lang_pred"]).mean() > 0.97 and out["score"].between(0, 1).all()
 
 
+def test_letters_are_category_l():
+    import unicodedata
+
+    for c in map(chr, [*range(0x3000), *range(0x1D400, 0x1D800), 0xFF21, 0x20000]):
+        assert language_id.has_letter(f"1 {c}!") == (unicodedata.category(c)[0] == "L")
+
+
+def test_languages_against_a_plain_scorer(spark):
+    """Every result equals one text's own score from the fitted weights."""
+    docs = table(spark, ROOT, "documents").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(-1, "½²³Ⅷ", None), (-2, "a" * 70_000 + "b", None)], docs.schema)
+    model = language_id.fit_languages(docs)
+    texts = {r.doc_id: r.text for r in docs.union(extra).collect()}
+    for r in language_id.identify(docs.union(extra), model).collect():
+        low = (texts[r.doc_id] or "").lower()
+        at, count = Counter(language_id.ORDERS, language_id.BITS)(low)
+        x = (1 + np.log(count)) * model.idf[at]
+        z = (x / np.linalg.norm(x)) @ model.weights[at] + model.weights[-1]
+        p = np.exp((z - z.max()) / model.divisor) / np.exp((z - z.max()) / model.divisor).sum()
+        want = (model.classes[p.argmax()], p.max()) if language_id.has_letter(low) else ("und", 0.0)
+        assert r.lang_pred == want[0] and abs(r.score - want[1]) < 1e-5
+
+
 def test_quality_of_held_out_documents(spark):
     out, good = scored(spark, "op9_quality_classifier", "quality")
     assert area(out["score"].to_numpy(), good) > 0.95

@@ -16,7 +16,6 @@ FILE = public_tokenizers.path("word_bpe_49k.json")
 
 def whole(texts):
     t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
     return [[*e.ids, 1] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -65,6 +64,12 @@ def test_given_documents(spark):
     assert n <= best_fit_decreasing(lengths, 4096) + 2 and n <= 1.02 * sum(lengths) / 4096 + 2
 
 
+def test_added_tokens_are_taken_as_the_tokenizer_does():
+    texts = ["see <|endoftext|> here", "a<|startoftext|>b", "<|ENDOFTEXT|> x", "<|endoftext|", "plain words", "<|endoftext|><|endoftext|>", None, ""]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(FILE)(texts)]
+    assert [[*x, 1] for x in got] == whole(texts) and got[0] == [862, 49407, 763]
+
+
 def test_edge_rows(spark):
     long = "word " * 30_000
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, long), (5, "<|endoftext|> x<|endoftext|>"), (6, "É\u00a0ı\x1c!!"), (7, "a" * 5000)]
