@@ -114,9 +114,10 @@ def explicit_weights(
     return df.withColumn(out, F.coalesce(found, F.lit(default).cast("double")))
 
 
-def split_bucket(key: str, seed: int) -> Column:
+def split_bucket(key: str, seed: int | Column) -> Column:
     """0 to 99 from the md5 of key and seed; the same on every run and partitioning."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    seed = F.lit(seed) if isinstance(seed, int) else seed
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit("#"), seed.cast("string")))
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100).cast("int")
 
 
@@ -124,9 +125,14 @@ def hash_split(
     df: DataFrame, key: str, seed: int = 42, test_percent: int = 20
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by the hash of the key, without a shuffle; rows without a key train."""
-    test = F.coalesce(split_bucket(key, seed) < test_percent, F.lit(False))
+    test = in_test(key, seed, test_percent)
     return df.where(~test), df.where(test)
 
 
+def in_test(key: str, seed: int | Column = 42, test_percent: int = 20) -> Column:
+    """Whether a row is held out; the seed may be a column."""
+    return F.coalesce(split_bucket(key, seed) < test_percent, F.lit(False))
+
+
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)
