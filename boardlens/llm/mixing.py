@@ -3,7 +3,8 @@
 A classifier fitted on a table of labelled documents gives each document a probability for each domain. A
 document of n tokens and probabilities p taken at rate r brings n * r * p[d] expected tokens of domain d.
 The rates minimise the squared distance of these totals from the targets by projected gradient steps that
-keep every rate at or above a floor. A step needs the totals only: one aggregate over all documents. As it
+keep every rate at or above a floor. The classifier reads each text once; its probabilities are written and all
+steps and rates use them. A step needs the totals only: one aggregate over all documents. As it
 moves a document's rate by its probabilities times what the totals lack, a rate follows from the
 probabilities and the short list of all steps so far; no rates are kept between steps, and a lost
 executor costs one aggregate.
@@ -19,14 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.llm import ftrl
-from boardlens.llm.common import map_rows, remove, written
+from boardlens.llm.common import map_rows, written
 from boardlens.llm.fitting import labelled_sample, part_of
 from boardlens.llm.ngrams import Marker
 
 ORDERS = range(1, 5)
 BITS = 16
-#: Probabilities are rounded to this fraction, so that like documents are added up once.
-GRAIN = 256
+PATIENCE = 12
 
 
 @dataclass
@@ -76,7 +76,7 @@ def fit_domains(
 
 
 def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in ``keep``, __tokens (words) and __p: the domains' probabilities in steps of 1 / GRAIN."""
+    """The columns in ``keep``, __tokens (words) and __p: the domains' probabilities."""
 
     def start():
         marker = Marker(ORDERS, BITS)
@@ -85,7 +85,7 @@ def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: t
             tokens, p = [], []
             for t in columns[text]:
                 tokens.append(len(t.split()) if t else 0)
-                p.append(_rounded(model.posterior(marker(t or ""))))
+                p.append(model.posterior(marker(t or "")).astype(float))
             return pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))
 
         return make
@@ -94,14 +94,6 @@ def memberships(docs: DataFrame, model: DomainModel, text: str = "text", keep: t
     return map_rows(rows, "__tokens long, __p array<double>", start, keep)
 
 
-def _rounded(p: np.ndarray) -> list[float]:
-    """Largest remainders, so that the parts still add up to one."""
-    down = np.floor(p * GRAIN)
-    short = int(round(GRAIN - down.sum()))
-    down[np.argsort(down - p * GRAIN, kind="stable")[:short]] += 1
-    return (down / GRAIN).tolist()
-
-
 def rate(p: Column, steps: list[list[float]], floor: float) -> Column:
     """The rate after all steps, each projected to the floor, from 1."""
     if not steps:
@@ -117,11 +109,19 @@ def rate(p: Column, steps: list[list[float]], floor: float) -> Column:
 
 @dataclass
 class Mixture:
+    """Steps to the rates, the totals they reach, and whether the targets are met.
+
+    ``gradient`` is the projected gradient's length at the end over its length without the floor: near zero
+    where targets are not met because the floor, or a domain without documents, keeps the totals away.
+    """
+
     domains: list[str]
     steps: list[list[float]]
     floor: float
     targets: list[float]
     totals: list[float]
+    met: bool
+    gradient: float
 
     def rate(self) -> Column:
         """Rate of a row of ``memberships``."""
@@ -129,16 +129,17 @@ class Mixture:
 
 
 def fit_rates(
-    members: DataFrame, domains: list[str], targets: dict[str, float], floor: float = 0.0, tolerance: float = 1e-3, max_steps: int = 60
+    members: DataFrame, domains: list[str], targets: dict[str, float], floor: float = 0.0, tolerance: float = 1e-3, max_steps: int = 500
 ) -> Mixture:
     """members: tokens, p. targets: expected tokens of each domain; a domain left out aims at none.
 
-    Ends when every total is within ``tolerance`` of all targets' sum, or after ``max_steps``. A domain that no
-    document belongs to can't be met; its total stays 0. Without tokens there are no steps.
+    Ends when every total is within ``tolerance`` of all targets' sum, or when steps along the projected gradient bring
+    the totals hardly closer (a hundredth in PATIENCE steps); the result tells which. A domain that no document belongs to can't be met; its total stays 0. Without
+    tokens there are no steps. ``max_steps`` only guards against an endless loop.
     """
     size = len(domains)
     aim = np.array([float(targets.get(d, 0.0)) for d in domains])
-    cells = written(members.filter("tokens > 0").groupBy("p").agg(F.sum("tokens").alias("tokens")))
+    cells = members.filter("tokens > 0").select("tokens", "p")
     item = lambda i: F.element_at("p", i + 1)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     steps: list[list[float]] = []
@@ -155,10 +156,20 @@ def fit_rates(
             moments[i, j] = moments[j, i] = got[size + k] or 0.0
         return np.array([float(x or 0) for x in got[:size]]), moments
 
+    def gradient(lack: np.ndarray) -> float:
+        pull = sum(item(i) * float(x) for i, x in enumerate(lack))
+        free = (F.col("r") > floor) | (F.col("pull") > 0)
+        square = F.col("tokens") * F.col("pull") ** 2
+        got = cells.withColumn("r", rate(F.col("p"), steps, floor)).withColumn("pull", pull).agg(F.sum(F.when(free, square)), F.sum(square)).first()
+        return float(np.sqrt((got[0] or 0.0) / got[1])) if got[1] else 0.0
+
     (now, moments), scale, stuck = state(every=True), 1.0, 0
     # domains without documents get a small moment, so that the inverse exists
     total = moments + (1e-6 * np.trace(moments) + 1e-12) * np.eye(size)
+    lack = [np.linalg.norm(now - aim)]
     while np.abs(now - aim).max() > tolerance * aim.sum() and now.any() and len(steps) < max_steps and stuck < 8:
+        if len(lack) > PATIENCE and lack[-1] > 0.99 * lack[-1 - PATIENCE]:
+            break
         # the gradient in the metric of the free documents: steps of like length for rare and common domains
         metric = np.linalg.inv(moments + 1e-3 * total)
         steps.append((scale * metric @ (aim - now)).tolist())
@@ -169,8 +180,9 @@ def fit_rates(
             moments = (moments + total) / 2
         else:
             now, moments, scale, stuck = after, free, min(1.0, scale * 2), 0
-    remove(cells)
-    return Mixture(domains, steps, floor, aim.tolist(), now.tolist())
+            lack.append(np.linalg.norm(now - aim))
+    met = bool(np.abs(now - aim).max() <= tolerance * aim.sum())
+    return Mixture(domains, steps, floor, aim.tolist(), now.tolist(), met, 0.0 if met else gradient(aim - now))
 
 
 def repeats(rate_: Column, key: Column) -> Column:
@@ -184,11 +196,13 @@ def fit_mixture(
 ) -> Mixture:
     """Rates at which the domains' expected tokens have the given shares.
 
+    ``docs`` are documents, or written rows of ``memberships``, which are then not computed again.
     Shares are made to add up to one over the domains there are; a domain that they leave out keeps its
     part of the tokens. ``total``: expected tokens aimed at; without it all tokens there are or, with a
     floor, as many more as let every share be met without going below it.
     """
-    members = written(memberships(docs, model, text, ()).select(F.col("__tokens").alias("tokens"), F.col("__p").alias("p")))
+    rows = docs if "__p" in docs.columns else written(memberships(docs, model, text, ()))
+    members = rows.select(F.col("__tokens").alias("tokens"), F.col("__p").alias("p"))
     sums = [F.sum(F.col("tokens") * F.element_at("p", i + 1)) for i in range(len(model.domains))]
     got = members.agg(F.sum("tokens"), *sums).first()
     there = {d: float(got[i + 1] or 0) for i, d in enumerate(model.domains)}
@@ -198,22 +212,23 @@ def fit_mixture(
     scale = sum(known.values()) or 1.0
     part = {d: (1 - rest / every) * known[d] / scale if d in known else n / every for d, n in there.items()} if every else {}
     size = total if total is not None else max([every, *(floor * there[d] / s for d, s in part.items() if s)])
-    mixture = fit_rates(members, model.domains, {d: size * s for d, s in part.items()}, floor)
-    remove(members)
-    return mixture
+    return fit_rates(members, model.domains, {d: size * s for d, s in part.items()}, floor)
 
 
 def mixed(docs: DataFrame, model: DomainModel, mixture: Mixture, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every row as often as its rate says: whole copies, and one more by chance for the rest.
 
+    ``docs`` may be written rows of ``memberships`` with all columns of documents, which are then not computed again.
     The chance is a hash of the id (of the text, where there is none), so it is the same in every run. Null
     and empty texts have no tokens and the rate of their probabilities. An empty table stays empty.
     """
-    members = memberships(docs, model, text, tuple(docs.columns)).withColumn("__rate", mixture.rate())
+    given = "__p" in docs.columns
+    columns = [c for c in docs.columns if not given or c not in ("__tokens", "__p")]
+    members = (docs if given else memberships(docs, model, text, tuple(columns))).withColumn("__rate", mixture.rate())
     key = F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit(""))
     return (
         members.withColumn("__copies", repeats(F.col("__rate"), key))
         .filter(F.col("__copies") > 0)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
+        .select(*columns)
     )

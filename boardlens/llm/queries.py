@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlens.llm.common import table
+from boardlens.llm.common import table, written
 from boardlens.llm.conversation_repair import damaged, repair, report, summaries
 from boardlens.llm.exact_dedup import exact_duplicates
 from boardlens.llm.host_reputation import judge
@@ -143,14 +143,16 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domains are the kinds of labelled documents; rates move the corpus to 85 % good tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_domains(docs, domains_of(table(spark, sf_dir, "labels")))
-    mixture = fit_mixture(docs, model, {"good": 0.85, "poor": 0.1, "toxic": 0.05})
-    rows = memberships(docs, model).withColumn("rate", mixture.rate())
-    return rows.select(
+    rows = written(memberships(docs, model))
+    mixture = fit_mixture(rows, model, {"good": 0.85, "poor": 0.1, "toxic": 0.05})
+    return rows.withColumn("rate", mixture.rate()).select(
         "doc_id",
         F.col("__tokens").alias("tokens"),
         *[F.element_at("__p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)],
         "rate",
         repeats(F.col("rate"), F.col("doc_id").cast("string")).alias("copies"),
+        *[F.lit(t).alias(f"target_{d}") for d, t in zip(mixture.domains, mixture.targets, strict=True)],
+        F.lit(mixture.met).alias("targets_met"),
     )
 
 
