@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boardlens.llm.common import table, written
-from boardlens.llm.mixing import fit_domains, fit_mixture, mixed
+from boardlens.llm.mixing import fit_domains, fit_mixture, memberships, mixed
 from boardlens.llm.near_minhash import near_duplicates
 from boardlens.llm.packing import pack
 from boardlens.llm.queries import domains_of
@@ -59,7 +59,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Good documents are repeated until nine tenths of the expected tokens are good; every document stays."""
     model = fit_domains(docs, domains_of(table(spark, sf_dir, "labels")).filter("domain <> 'toxic'"))
-    return mixed(docs, model, fit_mixture(docs, model, {"good": 0.9, "poor": 0.1}, floor=1.0))
+    members = written(memberships(docs, model, keep=tuple(docs.columns)))
+    return mixed(members, model, fit_mixture(members, model, {"good": 0.9, "poor": 0.1}, floor=1.0))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
