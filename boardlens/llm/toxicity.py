@@ -1,21 +1,25 @@
 """Toxicity by a gap-weighted subsequence kernel, Nystroem landmarks and a support vector machine.
 
-A span is a token of a sentence, a run of single characters ("x y z"), or a window of a long token. Marks
-at a token's ends count as characters. The kernel of two spans sums decay**length over all triples of characters that occur in both in order within
+A span is a token of a sentence, its letters and digits alone where signs stand between them, the letters of a run
+of short pieces whatever blanks or signs are between ("x  y -- z"), or a window of a long one. Two neighbouring pieces
+are one span too ("xy zw") where the letters around the cut stand in a toxic landmark or witness. Marks
+at a span's ends count as characters. The kernel of two spans sums decay**length over all triples of characters that occur in both in order within
 SPAN places, so inserted or left-out characters lower it only a little. It is normalised by the triples of
 letters and digits, hence signs put between letters hardly count. A sentence scores as its best span and a
 text as its best sentence.
 
 Training is by multiple instances: the sentences of a labelled text share its label, and of a toxic text
 only the few sentences that score best are taken to be toxic, which are chosen anew in each round. Landmarks are
-the strings most typical of toxic texts and the most frequent clean spans. The fitted function is a
+the strings most typical of toxic texts, on evidence that copies of one text don't add to, and the most frequent clean spans. The fitted function is a
 sum over triples, so scoring needs one table of triples, not the landmarks.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlens.llm.common import held_out, map_rows
+from boardlens.llm.common import held_out, map_rows, written
 from boardlens.llm.fitting import labelled_sample, part_of, platt, sigmoid
 
 SPAN = 7
@@ -31,7 +35,11 @@ DECAY = 0.6
 WINDOW, STRIDE = 24, 12
 #: Characters that landmarks may use; rarer ones count as gaps.
 ALPHABET = 120
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+PIECE = re.compile(r"[^\W_]+")
+#: A run of RUN pieces or more, each of at most SHORT characters, is one span.
+SHORT, RUN = 2, 3
+#: Characters around the cut of two neighbouring pieces that decide whether they are one span.
+BRIDGE = 4
 #: Spans scored at once, spans remembered by a task, and characters of the texts taken together.
 BATCH = 10_000
 MEMORY = 200_000
@@ -40,6 +48,8 @@ CHARACTERS = 1_000_000
 LANDMARKS = (96, 32)
 LENGTHS = (4, 5, 6)
 APART = 0.7
+#: Toxic texts whose witness a span must be for its strings to join pieces.
+LEAST = 3
 #: Sentences of a toxic text that are taken to be toxic: the best ones.
 WITNESSES = 3
 #: Marks of a token's ends, which count as letters: short tokens differ from the strings inside long ones.
@@ -47,19 +57,46 @@ EDGES = "\x02\x03"
 _GAPS = [(i, j) for i in range(1, SPAN - 1) for j in range(i + 1, SPAN)]
 
 
-def spans(text: str | None) -> set[str]:
-    """Distinct spans of all sentences of a text."""
+def spans(text: str | None, bridges: frozenset[str] = frozenset()) -> set[str]:
+    """Distinct spans of all sentences of a text; ``bridges`` are the strings across cuts that join two pieces."""
     if not text:
         return set()
     low = text.lower()
-    found = set()
-    for t in {*low.split(), *SPACED.findall(low)}:
+    tokens = set(low.split())
+    letters = ("".join(PIECE.findall(t)) for t in tokens if not t.isalnum())
+    found = {t for t in letters if t}
+    pieces = PIECE.findall(low)
+    found.update(_runs(pieces))
+    if bridges:
+        found.update(a + b for a, b in zip(pieces, pieces[1:]) if _across(a, b) in bridges)
+    out = set()
+    for t in tokens | found:
         t = EDGES[0] + t + EDGES[1]
         if len(t) > WINDOW:
-            found.update(t[i : i + WINDOW] for i in range(0, len(t) - WINDOW + STRIDE, STRIDE))
+            out.update(t[i : i + WINDOW] for i in range(0, len(t) - WINDOW + STRIDE, STRIDE))
         else:
-            found.add(t)
-    return found
+            out.add(t)
+    return out
+
+
+def _runs(pieces: list[str]) -> Iterator[str]:
+    """The joined pieces of each run of short ones."""
+    run: list[str] = []
+    for p in pieces:
+        if len(p) <= SHORT:
+            run.append(p)
+        elif run:
+            if len(run) >= RUN:
+                yield "".join(run)
+            run = []
+    if len(run) >= RUN:
+        yield "".join(run)
+
+
+def _across(a: str, b: str) -> str:
+    """BRIDGE characters around the cut, as even on both sides as the pieces allow."""
+    left = min(len(a), max(BRIDGE // 2, BRIDGE - len(b)))
+    return a[-left:] + b[: BRIDGE - left]
 
 
 def _letter(c: str) -> bool:
@@ -132,6 +169,7 @@ class ToxicityModel:
     bias: float
     slope: float
     shift: float
+    bridges: frozenset[str] = frozenset()
 
     def decide(self, batch: list[str]) -> np.ndarray:
         out = np.zeros(len(batch))
@@ -148,28 +186,67 @@ def _strings(bag: list[str]) -> set[str]:
     return {t[i : i + n] for t in bag for n in LENGTHS for i in range(len(t) - n + 1) if t[i : i + n].strip(EDGES).isalnum()}
 
 
+def copies(bags: list[list[str]]) -> np.ndarray:
+    """How many texts of the sample are copies of each, itself included: half of all their spans are shared.
+
+    Compared are texts that agree in two neighbouring ones of eight least hashes.
+    """
+    turns = np.random.default_rng(5).integers(1, 1 << 31, 8) * 2 + 1
+    root = list(range(len(bags)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    seen: dict[tuple, int] = {}
+    for i, bag in enumerate(bags):
+        marks = np.fromiter((zlib.crc32(s.encode("utf-8", "surrogatepass")) for s in bag), np.int64, len(bag))
+        least = ((marks[:, None] * turns) % (1 << 32)).min(axis=0).tolist() if len(bag) else [0] * 8
+        own = set(bag)
+        for k in range(0, 8, 2):
+            j = seen.setdefault((k, *least[k : k + 2]), i)
+            if find(i) != find(j) and 2 * len(own.intersection(bags[j])) >= len(own.union(bags[j])):
+                root[find(i)] = find(j)
+    group = np.array([find(i) for i in range(len(bags))], int)
+    return np.bincount(group, minlength=len(bags))[group] if len(bags) else np.zeros(0)
+
+
 def _typical(bags: list[list[str]], positive: np.ndarray) -> tuple[list[str], np.ndarray, list[str]]:
-    """Toxic landmarks that differ from each other, how typical each is, and frequent clean spans."""
-    pos, neg, words = Counter(), Counter(), Counter()
-    for bag, p in zip(bags, positive, strict=True):
-        (pos if p else neg).update(_strings(bag))
-        if not p:
+    """Toxic landmarks that differ from each other, how typical each is, and frequent clean spans.
+
+    A text counts as one over its copies of equal label, so what a copied text alone has is no evidence.
+    """
+    share = np.ones(len(bags))
+    for own in (np.flatnonzero(positive), np.flatnonzero(~positive)):
+        share[own] = 1 / copies([bags[i] for i in own])
+    pos, neg, words = defaultdict(float), defaultdict(float), Counter()
+    for bag, p, w in zip(bags, positive, share, strict=True):
+        if p:
+            for s in _strings(bag):
+                pos[s] += w
+        else:
             words.update(s for s in bag if len(s) >= 5)
-    n_pos, n_neg = positive.sum(), (~positive).sum()
+    for bag, p, w in zip(bags, positive, share, strict=True):
+        if not p:
+            for s in _strings(bag):
+                if s in pos:
+                    neg[s] += w
+    n_pos, n_neg = share[positive].sum(), share[~positive].sum()
 
     def typical(s: str) -> float:
-        return pos[s] * float(np.log((pos[s] + 0.5) / (n_pos + 1)) - np.log((neg[s] + 0.5) / (n_neg + 1)))
+        return pos[s] * float(np.log((pos[s] + 0.5) / (n_pos + 1)) - np.log((neg.get(s, 0.0) + 0.5) / (n_neg + 1)))
 
-    worth = {s: typical(s) for s in pos}
-    ranked = sorted((s for s in pos if worth[s] > 0), key=lambda s: (-worth[s], -len(s), s))[: 40 * LANDMARKS[0]]
+    worth = {s: w for s in pos if (w := typical(s)) > 0}
+    ranked = sorted(worth, key=lambda s: (-worth[s], -len(s), s))[: 40 * LANDMARKS[0]]
     place, toxic_bags = {s: i for i, s in enumerate(ranked)}, [b for b, p in zip(bags, positive, strict=True) if p]
     holds = np.zeros((len(ranked), len(toxic_bags)), np.float32)
     for d, bag in enumerate(toxic_bags):
         holds[[place[s] for s in _strings(bag) if s in place], d] = 1
     # texts that chosen landmarks cover count less and less, so that rare kinds get theirs
     odds = np.array([worth[s] / pos[s] for s in ranked])
-    chosen, near, left = [], np.zeros(len(ranked)), np.ones(len(toxic_bags), np.float32)
-    while len(chosen) < LANDMARKS[0] and (near < APART).any():
+    chosen, near, left = [], np.zeros(len(ranked)), share[positive].astype(np.float32)
+    while ranked and len(chosen) < LANDMARKS[0] and (near < APART).any():
         i = int(np.where(near < APART, (holds @ left) * odds, -1).argmax())
         chosen.append(ranked[i])
         left[holds[i] > 0] *= 0.7
@@ -195,9 +272,19 @@ def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", max_rows: int = 2000, rounds: int = 4
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    max_rows: int = 2000,
+    max_characters: int = 4_000_000,
+    rounds: int = 4,
 ) -> ToxicityModel:
-    """``max_rows`` bounds the labelled texts that are learned from; half of them come from each class.
+    """``max_rows`` and ``max_characters`` bound the labelled texts that are learned from, and so what the driver holds.
+
+    Half of the rows come from each class. If their texts are longer together than ``max_characters``, fewer rows are taken, by a
+    hash of the id, and of those the ones that fit.
 
     Without labels of both classes the score is the same for all texts.
     """
@@ -207,6 +294,12 @@ def fit_toxicity(
         return lambda columns: (pa.array([sorted(spans(t)) for t in columns["text"]], pa.list_(pa.string())),)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = written(rows.select("doc_id", "label", "weight", "text"))
+    size = F.coalesce(F.length("text"), F.lit(0))
+    part = min(1.0, max_characters / (rows.agg(F.sum(size)).first()[0] or 1))
+    if part < 1:
+        luck = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 20))
+        rows = rows.filter((luck < int(part * (1 << 20))) & (size <= max_characters // 20))
     sample = map_rows(rows.select("doc_id", "label", "weight", "text"), "spans array<string>", start, ["doc_id", "label", "weight"]).collect()
     sample.sort(key=lambda r: (r.doc_id, r.label, r.spans))
     positive = np.array([r.label == "1" for r in sample], bool)
@@ -247,17 +340,22 @@ def fit_bags(bags: list[list[str]], positive: np.ndarray, weight: np.ndarray, pa
         able = np.where(common, -np.inf, score)
         best = np.concatenate([b[np.argsort(-able[b], kind="stable")[:WITNESSES]] for b in toxic_rows])
         witness, times = np.unique(best[np.isfinite(able[best])], return_counts=True)
+        # beyond the hardest clean spans every so many stands for as many
         hard = clean[np.argsort(-score[clean], kind="stable")]
-        hard = np.concatenate([hard[:BATCH], hard[BATCH :: 1 + len(hard) // BATCH]])
+        stride = 1 + len(hard) // BATCH
+        heavy = np.concatenate([np.ones(min(BATCH, len(hard))), np.full(len(hard[BATCH::stride]), stride)])
+        hard = np.concatenate([hard[:BATCH], hard[BATCH::stride]])
         at = np.concatenate([witness, hard])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(hard))])
-        w, bias = _hinge(z[at], y, np.concatenate([times / len(toxic_rows), held[hard]]))
+        w, bias = _hinge(z[at], y, np.concatenate([times / len(toxic_rows), held[hard] * heavy]))
         score = z @ w + bias
     # the kernel's landmarks and the triples' table give the same function
     letters, base = kernel.letters, len(kernel.letters) + 1
     table = np.zeros(base**3, np.float32)
     table[kernel.codes] = (kernel.values[:-1] @ (root @ w)).astype(np.float32)
-    model = ToxicityModel(letters, table, bias, 1.0, 0.0)
+    typical = [names[k] for k in witness[(score[witness] > 0) & (times >= LEAST)].tolist()]
+    bridges = frozenset(t[i : i + BRIDGE] for t in (x.strip(EDGES) for x in toxic + typical) for i in range(len(t) - BRIDGE + 1))
+    model = ToxicityModel(letters, table, bias, 1.0, 0.0, bridges)
     rest = np.flatnonzero(~fits) if (~fits).any() else np.arange(len(bags))
     best = np.array([model.decide(bags[i]).max() if bags[i] else bias for i in rest])
     model.slope, model.shift = platt(best, positive[rest], weight[rest])
@@ -271,7 +369,7 @@ def _scorer(model: ToxicityModel, column: str):
         known: dict[str, float] = {}
 
         def scores(texts: list[str | None]) -> list[float]:
-            own = [spans(t) for t in texts]
+            own = [spans(t, model.bridges) for t in texts]
             new = [s for s in set().union(*own) if s not in known]
             if len(known) + len(new) > MEMORY:
                 known.clear()

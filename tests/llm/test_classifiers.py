@@ -70,6 +70,59 @@ def test_toxicity_of_held_out_documents(spark):
     assert ((out["score"] >= 0.3) == (out["predicted"] == 1)).all()
 
 
+def test_scores_against_a_plain_scorer(spark):
+    """Every score equals that of one text alone, from its spans and a sum over all triples in plain Python."""
+    docs = table(spark, ROOT, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, ROOT, "labels"))
+    base = len(model.letters) + 1
+
+    def value(s):
+        out, norm = 0.0, 0.0
+        for i in range(len(s)):
+            for j in range(i + 1, len(s)):
+                for k in range(j + 1, min(len(s), i + toxicity.SPAN)):
+                    if all(toxicity._letter(c) for c in (s[i], s[j], s[k])):
+                        weight = toxicity.DECAY ** (k - i + 1)
+                        a, b, c = (model.letters.get(x, 0) for x in (s[i], s[j], s[k]))
+                        out += weight * model.triples[(a * base + b) * base + c] if a and b and c else 0.0
+                        norm += weight * weight
+        return out / (norm**0.5 or 1.0) + model.bias
+
+    rows = {r.doc_id: r.text for r in docs.filter("doc_id % 100 = 7 AND length(text) < 4000").collect()}
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert rows
+    for i, t in rows.items():
+        best = max(map(value, toxicity.spans(t, model.bridges)), default=model.bias)
+        assert abs(got[i] - fitting.sigmoid(model.slope * best + model.shift)) < 1e-6
+
+
+def test_disguised_insults_score_like_plain_ones(spark):
+    """Signs and blanks between letters, cuts and inserted signs, on the table's own insults."""
+    root = "/root/testdata/sf0.1"
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, root, "labels"))
+
+    def score(t):
+        return fitting.sigmoid(model.slope * model.decide(sorted(toxicity.spans(t, model.bridges))).max() + model.shift)
+
+    for word in ("idiot", "trash", "pathetic", "disgusting"):
+        half = len(word) // 2
+        cut = word[:half], word[half:]
+        for shown in (word, ".".join(word), "*".join(cut), " ".join(cut), " ".join(word), "  ".join(word), "\t".join(word), "---".join(word), word.upper()):
+            assert score(f"The house and {shown} over there.") >= 0.3, shown
+    assert score("The house and the hill over there.") < 0.3
+
+
+def test_copies_of_a_text_are_no_evidence():
+    toxic = [[f"w{i}", "idiot", f"x{i}", f"y{i}"] for i in range(12)]
+    copied = [["same", "words", "strange", "thing", f"z{i % 2}"] for i in range(40)]
+    clean = [[f"c{i}", f"d{i}", "plain"] for i in range(60)]
+    bags = toxic + copied + clean
+    assert toxicity.copies(copied).tolist() == [40] * 40 and toxicity.copies(clean).max() == 1
+    marks, _, _ = toxicity._typical(bags, np.arange(len(bags)) < 52)
+    assert marks[0] == "idiot"
+
+
 def test_kernel_against_all_triples():
     """The kernel of two spans by enumerating their triples."""
     rng = np.random.default_rng(0)
