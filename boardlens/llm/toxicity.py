@@ -48,6 +48,9 @@ CHARACTERS = 1_000_000
 LANDMARKS = (96, 32)
 LENGTHS = (4, 5, 6)
 APART = 0.7
+#: What a string's log odds times the texts that hold it must come to: four toxic texts among a thousand and no clean one; where
+#: there are fewer toxic texts than that, one for each of them.
+EVIDENCE = 12.0
 #: Toxic texts whose witness a span must be for its strings to join pieces.
 LEAST = 3
 #: Sentences of a toxic text that are taken to be toxic: the best ones.
@@ -237,7 +240,7 @@ def _typical(bags: list[list[str]], positive: np.ndarray) -> tuple[list[str], np
     def typical(s: str) -> float:
         return pos[s] * float(np.log((pos[s] + 0.5) / (n_pos + 1)) - np.log((neg.get(s, 0.0) + 0.5) / (n_neg + 1)))
 
-    worth = {s: w for s in pos if (w := typical(s)) > 0}
+    worth = {s: w for s in pos if (w := typical(s)) > min(EVIDENCE, n_pos)}
     ranked = sorted(worth, key=lambda s: (-worth[s], -len(s), s))[: 40 * LANDMARKS[0]]
     place, toxic_bags = {s: i for i, s in enumerate(ranked)}, [b for b, p in zip(bags, positive, strict=True) if p]
     holds = np.zeros((len(ranked), len(toxic_bags)), np.float32)
