@@ -1,9 +1,9 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Fixed patterns give the base spans. Long random-looking strings are candidates too. The hashes of all
-candidates are counted by distinct owners and repositories: a value that many owners or many repositories
-hold is a widely copied example, one that few hold and that looks random is taken for live. Copies of a
-whole text count once. Live candidates outside the base spans are added as spans of kind ``owned``.
+candidates are counted by distinct owners and repositories. How often values recur by chance is read off
+the corpus itself: a value held by more owners or repositories than that makes likely is a widely copied
+example, any other one that looks random is taken for live. Copies of a whole text count once. Live candidates outside the base spans are added as spans of kind ``owned``.
 """
 
 from __future__ import annotations
@@ -103,20 +103,35 @@ def scan(docs: DataFrame, doc_id: str, text: str, repo: str, owner: str) -> Data
     return map_rows(rows, f"found {_FOUND_SQL}", start, ["doc_id", "text_key", "repo", "owner"])
 
 
+def most_by_chance(values: int, single: int, alpha: float) -> int:
+    """Holders that a value has by chance: more of them have a probability below ``alpha``.
+
+    Holders beyond the first are taken as Poisson distributed. Their mean follows from the share of
+    values with a single holder, which no widely copied value can move by more than one value.
+    """
+    mean = -math.log((single + 0.5) / (values + 1))
+    term = math.exp(-mean)
+    beyond, more = 1 - term, 0
+    while beyond >= alpha:
+        more += 1
+        term *= mean / more
+        beyond -= term
+    return 1 + more
+
+
 def secrets(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     repo: str = "doc_id",
     owner: str = "source",
-    max_owners: int = 3,
-    max_repos: int = 8,
+    alpha: float = 0.01,
 ) -> DataFrame:
     """One row per row: doc_id, text_key, and ``found``: (start, kind, end, live, copied, owners, repos) by start.
 
-    kind is a place in KINDS. copied says that more than ``max_owners`` owners or more than ``max_repos``
-    repositories hold the value, live that it isn't copied and looks random; base spans stay either way,
-    ``owned`` ones only if live. Rows of one text count as the first owner and repository that have it, so
+    kind is a place in KINDS. copied says that more owners or more repositories hold the value than
+    ``most_by_chance`` allows at ``alpha``, live that it isn't copied and looks random; base spans stay
+    either way, ``owned`` ones only if live. Rows of one text count as the first owner and repository that have it, so
     copies of a document don't make its secrets copied ones. Null and empty texts have none;
     a missing owner or repository counts as one unnamed; repeated rows give equal results; an empty table
     gives none; other columns don't matter.
@@ -128,10 +143,14 @@ def secrets(
     once = each.groupBy("hash", "text_key").agg(F.min(F.struct("owner", "repo")).alias("first"))
     held = once.groupBy("hash", "first.owner", "first.repo").agg(F.lit(1).alias("one"))
     by_owner = held.groupBy("hash", "owner").agg(F.count("*").alias("repos"))
-    freq = by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    freq = written(by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos")))
+    values, one_owner, one_repo = freq.agg(F.count("*"), F.count_if(F.col("owners") == 1), F.count_if(F.col("repos") == 1)).first()
     judged = (
         each.join(freq, "hash")
-        .withColumn("copied", (F.col("owners") > max_owners) | (F.col("repos") > max_repos))
+        .withColumn(
+            "copied",
+            (F.col("owners") > most_by_chance(values, one_owner, alpha)) | (F.col("repos") > most_by_chance(values, one_repo, alpha)),
+        )
         .withColumn("live", F.col("random") & ~F.col("copied"))
         .filter(F.col("live") | (F.col("kind") < KINDS.index("owned")))
         .groupBy("doc_id", "text_key")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import pytest
@@ -101,3 +102,47 @@ def test_few_owners_are_not_wide(spark):
     value = "Zx9Qw8Er7Ty6Ui5Op4As3Df"
     docs = spark.createDataFrame([(i, f"{value} of {i}", f"s{i}") for i in range(3)], "doc_id long, text string, source string")
     assert {(r.n_owned, r.n_live, r.n_copied) for r in ss.digest(ss.secrets(docs)).collect()} == {(1, 1, 0)}
+
+
+@pytest.mark.parametrize("values, single, alpha", [(0, 0, 0.01), (131, 120, 0.01), (131, 120, 0.001), (1, 0, 0.01), (10**9, 10**9, 0.01), (50, 0, 0.01)])
+def test_holders_by_chance(values, single, alpha):
+    """Against the tail of the Poisson distribution, summed term by term."""
+    mean = -math.log((single + 0.5) / (values + 1))
+    tail = lambda k: 1 - sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(k))
+    most = ss.most_by_chance(values, single, alpha)
+    assert tail(most) < alpha and (most == 1 or tail(most - 1) >= alpha)
+
+
+def test_chance_is_read_off_the_corpus(spark):
+    """The same three holders are many where values hardly recur and few where most do."""
+    value, key = "Zx9Qw8Er7Ty6Ui5Op4As3Df", "Qy7Rt6Yu5Io4Pa3Sd2Fg{}Hj"
+    planted = [(i, f"{value} of {i}", f"s{i}") for i in range(3)]
+    alone = [(10 + i, f"key {key.format(i)}", f"s{i % 5}") for i in range(60)]
+    shared = [(100 + i, f"key {key.format(i % 30)} in {i}", f"s{i % 7}") for i in range(90)]
+    for others, live in ((alone, 0), (shared, 1)):
+        docs = spark.createDataFrame(planted + others, "doc_id long, text string, source string")
+        rows = {r.doc_id: (r.n_owned, r.n_live) for r in ss.digest(ss.secrets(docs)).collect()}
+        assert {rows[i] for i in range(3)} == {(live, live)}
+        assert {rows[r[0]] for r in others} == {(1, 1)}
+
+
+def test_given_values_against_plain_counts(spark):
+    """Holders counted one by one; whole-text copies left out, every value of this table has one holder."""
+    root = "/root/testdata/sf0.1"
+    docs = table(spark, root, "documents").select("doc_id", "text", "source")
+    texts = {}
+    for r in docs.collect():
+        known = texts.get(r.text)
+        texts[r.text] = min(known, (r.source, r.doc_id)) if known else (r.source, r.doc_id)
+    holders = {}
+    for text, holder in texts.items():
+        for *_, v in ss.candidates(text):
+            holders.setdefault(v, set()).add(holder)
+    owners = {v: len({o for o, _ in h}) for v, h in holders.items()}
+    most_owners = ss.most_by_chance(len(holders), sum(n == 1 for n in owners.values()), 0.01)
+    most_repos = ss.most_by_chance(len(holders), sum(len(h) == 1 for h in holders.values()), 0.01)
+    copied = {v for v, h in holders.items() if owners[v] > most_owners or len(h) > most_repos}
+    want = {t: sum(c[3] in copied and c[1] < 3 for c in ss.candidates(t)) for t in texts}
+    rows = ss.digest(ss.secrets(docs)).join(docs, "doc_id").select("text", "n_copied", "n_live").collect()
+    assert all(r.n_copied == want[r.text] for r in rows)
+    assert not copied and any(r.n_live for r in rows)
