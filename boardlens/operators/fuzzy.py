@@ -6,6 +6,11 @@ of them must reappear unchanged in any name within ``t`` edits, close to its old
 segment scheme of Li, Deng, Wang and Feng, "Pass-Join", PVLDB 2011). An equi-join on
 (length, t, segment number, segment text) therefore finds every match without a cross join;
 the edit distance is computed on those candidates only.
+
+At cutoffs of 50 and below ``t`` may reach the length of a choice and no segment need survive. What is
+left is a count: a pair at the cutoff shares at least ``cutoff`` per cent of the longer name's letters.
+With letters in one global order, rarest first, such a pair shares a letter among the first few of both
+(prefix filter of Chaudhuri, Ganti and Kaushik, "A Primitive Operator for Similarity Joins", ICDE 2006).
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from boardlens.sources.tables import snapshot
 BLOCK = ["_len", "_t", "_i", "_seg"]
 # Choices in a block beyond which its names are spread over several tasks.
 HOT_BLOCK = 256
+# Below segments' reach names are settled from high cutoffs to low ones: few get to the lowest.
+RUNGS = (51, 35, 20)
 
 
 def _segment(length: Column, t: Column, i: Column) -> tuple[Column, Column]:
@@ -72,23 +79,80 @@ def _name_blocks(names: DataFrame, kinds: DataFrame, cutoff: int) -> DataFrame:
 
 
 def _candidates(names: DataFrame, choices: DataFrame, cutoff: int) -> DataFrame:
-    """Pairs that share a block.
+    """Pairs that share a segment.
 
-    Common words make some blocks large. The names of such a block are salted, and its choices
-    repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name. Names
-    are only cut into segments of lengths and numbers that occur among the choices.
+    Names are only cut into segments of lengths and numbers that occur among the choices.
     """
     right = _choice_blocks(choices, cutoff)
     kinds = right.select("_len", "_t").distinct()
-    left = _name_blocks(names, kinds, cutoff)
-    sizes = right.groupBy(*BLOCK).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
+    return _salted(_name_blocks(names, kinds, cutoff), right, BLOCK)
+
+
+def _salted(left: DataFrame, right: DataFrame, block: list[str]) -> DataFrame:
+    """Names (left) and choices (right) that share a block.
+
+    Common words make some blocks large. The names of such a block are salted, and its choices
+    repeated for each salt, so that a task meets about ``HOT_BLOCK`` choices per name.
+    """
+    sizes = right.groupBy(*block).agg(F.ceil(F.count("*") / HOT_BLOCK).alias("_salts"))
     hot = sizes.where("_salts > 1")
     salts = F.coalesce("_salts", F.lit(1))
     salt = F.pmod(F.xxhash64("_name"), salts)
     every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    left = left.join(hot, BLOCK, "left").withColumn("_salt", salt).drop("_salts")
-    right = right.join(hot, BLOCK, "left").withColumn("_salt", every).drop("_salts")
-    return left.join(right, [*BLOCK, "_salt"])
+    left = left.join(hot, block, "left").withColumn("_salt", salt).drop("_salts")
+    right = right.join(hot, block, "left").withColumn("_salt", every).drop("_salts")
+    return left.join(right, [*block, "_salt"])
+
+
+def _letters(text: Column) -> Column:
+    """Each letter with its number among equal ones, so that a bag of letters becomes a set."""
+    letters = F.array_sort(F.split(text, ""))
+    return F.transform(letters, lambda c, i: F.concat(c, (i - F.array_position(letters, c) + 1).cast("string")))
+
+
+def _shared(length: Column, cutoff: int) -> Column:
+    """Letters that a pair above 0 and at ``cutoff`` shares at least, by the longer name's length."""
+    return F.greatest(F.lit(1), F.ceil(length * cutoff / 100)).cast("int")
+
+
+def _by_letters(names: DataFrame, choices: DataFrame, cutoff: int) -> DataFrame:
+    """Pairs that share enough letters, each once: at the first letter that both prefixes hold."""
+    offered = choices.withColumn("_set", _letters(F.col("_choice")))
+    seen = offered.select(F.explode("_set").alias("_seg")).groupBy("_seg").agg(F.count("*").alias("_n"))
+
+    def prefixes(df: DataFrame, text: str, side: str) -> DataFrame:
+        ranked = (
+            df.withColumn("_seg", F.explode(_letters(F.col(text))))
+            .join(seen, "_seg", "left")
+            .groupBy(*df.columns)
+            .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_seg"))).alias("_rank"))
+        )
+        first = F.slice("_rank._seg", 1, F.length(text) - _shared(F.length(text), cutoff) + 1)
+        return ranked.select(
+            *df.columns, F.col("_rank._seg").alias(f"_set{side}"), first.alias(f"_first{side}"), F.explode(first).alias("_seg")
+        )
+
+    longest = F.greatest(F.length("_name"), F.length("_choice"))
+    pairs = _salted(prefixes(names, "_name", "_l"), prefixes(choices, "_choice", "_r"), ["_seg"])
+    return (
+        pairs.where(F.least(F.length("_name"), F.length("_choice")) >= _shared(longest, cutoff))
+        .where(F.get(F.array_intersect("_first_l", "_first_r"), F.lit(0)) == F.col("_seg"))
+        .where(F.size(F.array_intersect("_set_l", "_set_r")) >= _shared(longest, cutoff))
+        .withColumn("_t", F.least(_edits(cutoff, longest), longest - 1))
+        .drop("_set_l", "_set_r", "_first_l", "_first_r")
+    )
+
+
+def _near(names: DataFrame, name: str, offered: DataFrame, cutoff: int, score: str) -> DataFrame:
+    """(name, _match, score): the best choice at ``cutoff`` and above 0 of each name that has one."""
+    longest = F.greatest(F.length("_name"), F.length("_choice"))
+    near = (
+        (_candidates if cutoff > 50 else _by_letters)(names, offered, cutoff)
+        .withColumn("_edits", F.call_function("levenshtein", "_name", "_choice", "_t"))
+        .where("_edits >= 0")
+        .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
+    )
+    return first_per_key(near, [name], [F.col(score).desc(), "_match"]).select(name, "_match", score)
 
 
 def best_match(
@@ -105,10 +169,12 @@ def best_match(
 
     A match needs a score of at least ``cutoff``; the best score wins, then the alphabetically
     first choice. Null and blank names match nothing. Names equal to a choice after normalising
-    are settled by an equi-join, only the others are cut into segments.
+    are settled by an equi-join, only the others are cut into segments. A cutoff of 50 or below is
+    reached in steps, each for the names that found nothing before; at 0 a name like no choice
+    takes the first of all choices.
     """
-    if not 50 < cutoff <= 100:
-        raise ValueError("cutoff must lie above 50 and not above 100")
+    if not 0 <= cutoff <= 100:
+        raise ValueError("cutoff must lie between 0 and 100")
     wanted = (
         names.select(name)
         .distinct()
@@ -126,15 +192,17 @@ def best_match(
     equal = snapshot(wanted.join(offered, F.col("_name") == F.col("_choice"), "left"))
     exact = equal.where(F.col("_choice").isNotNull())
     rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
-    longest = F.greatest(F.length("_name"), F.length("_choice"))
-    near = (
-        _candidates(rest, offered, cutoff)
-        .withColumn("_edits", F.call_function("levenshtein", "_name", "_choice", "_t"))
-        .where("_edits >= 0")
-        .withColumn(score, F.lit(100.0) * (longest - F.col("_edits")) / longest)
-    )
-    near = first_per_key(near, [name], [F.col(score).desc(), "_match"]).select(name, "_match", score)
-    found = exact.select(name, "_match", F.lit(100.0).alias(score)).unionByName(near)
+    found = exact.select(name, "_match", F.lit(100.0).alias(score))
+    for rung in (r for r in RUNGS if cutoff <= 50 and r > cutoff):
+        near = snapshot(_near(rest, name, offered, rung, score))
+        found, rest = found.unionByName(near), snapshot(rest.join(near, name, "left_anti"))
+    near = _near(rest, name, offered, cutoff, score)
+    if cutoff == 0:
+        near = snapshot(near)
+        least = offered.agg(F.min("_match").alias("_match")).where("_match IS NOT NULL")
+        unlike = rest.join(near, name, "left_anti").select(name, F.lit(0.0).alias(score))
+        found = found.unionByName(unlike.join(F.broadcast(least)))
+    found = found.unionByName(near)
     return found.select(
         name,
         F.col(f"_match.{choice}").alias(match),

@@ -146,6 +146,39 @@ def fuzzy_many_choices(spark, root):
     return names.join(found, "name").select("c_custkey", "match", F.round("score", 6).alias("score"))
 
 
+@query("fuzzy_low_cutoff", """
+WITH q AS (
+  SELECT p_partkey, substr(p_name, 1, length(p_name) // 2) || ' ' || substr(md5(p_partkey::VARCHAR), 1, CAST(p_partkey % 12 AS INTEGER)) AS name
+  FROM part
+), a AS (
+  SELECT p_partkey, array_to_string(list_sort(string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' ')), ' ') AS a FROM q
+), c AS (
+  SELECT DISTINCT p_name AS name, array_to_string(list_sort(string_split(
+           trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' ')), ' ') AS b
+  FROM part
+), s AS (
+  SELECT p_partkey, name, 100.0e0 * (greatest(length(a), length(b)) - levenshtein(a, b)) / greatest(length(a), length(b)) AS score
+  FROM a CROSS JOIN c WHERE a <> '' AND b <> ''
+  QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, name) = 1
+)
+SELECT p_partkey, cutoff, name AS match, round(score, 6) AS score
+FROM s CROSS JOIN (VALUES (0), (30), (50)) t(cutoff) WHERE score >= cutoff
+""")
+def fuzzy_low_cutoff(spark, root):
+    """Half a name and some noise against all names, down to cutoffs that no shared segment reaches."""
+    (part,) = read_tables(spark, root, "part")
+    noise = F.substr(F.md5(F.col("p_partkey").cast("string")), F.lit(1), (F.col("p_partkey") % 12).cast("int"))
+    half = F.substr("p_name", F.lit(1), F.floor(F.length("p_name") / 2).cast("int"))
+    names = part.select("p_partkey", F.concat(half, F.lit(" "), noise).alias("name"))
+    found = [
+        names.join(best_match(names, "name", part, "p_name", cutoff), "name").select(
+            "p_partkey", F.lit(cutoff).alias("cutoff"), "match", F.round("score", 6).alias("score")
+        )
+        for cutoff in (0, 30, 50)
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 @query("fuzzy_best_match", """
 WITH q AS (
   SELECT p_partkey, CASE p_partkey % 4

@@ -20,7 +20,7 @@ from boardlens.plans.catalogue.registry import query
 from boardlens.plans.governance import clean_scores
 from boardlens.plans.governance import companies as gov_companies
 from boardlens.sources.csvio import RANKING_YEARS, read_csv, read_rankings, write_csv
-from boardlens.sources.html import elements, first_table, visible_text
+from boardlens.sources.html import elements, first_table, page_tables, visible_text
 from boardlens.sources.runlists import (
     explode_runs,
     format_run_lists,
@@ -248,6 +248,47 @@ def html_table(spark, root):
     return first_table(pages, "html", {"Company": "company", "Sector": "sector"}, ["page"])
 
 
+@query("nested_tables", """
+WITH n AS (
+  SELECT s_nationkey, s_suppkey, s_name, s_acctbal, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS i
+  FROM supplier
+), outer_rows AS (
+  SELECT s_nationkey AS page, 0 AS "table", CAST(i AS INTEGER) AS row,
+         'nation ' || s_nationkey || ' <é>|' || s_name || '|' || s_name || '|' AS cells
+  FROM n
+), inner_rows AS (
+  SELECT s_nationkey, CAST(i AS INTEGER), 0, s_suppkey::VARCHAR FROM n
+  UNION ALL SELECT s_nationkey, CAST(i AS INTEGER), 1, CASE WHEN s_acctbal < 0 THEN 'debt' ELSE 'credit' END FROM n
+)
+SELECT * FROM outer_rows UNION ALL SELECT * FROM inner_rows
+UNION ALL SELECT DISTINCT s_nationkey, 0, 0, 'Nation|Supplier|Supplier|More' FROM n
+""")
+def nested_tables(spark, root):
+    """Suppliers rendered as a table per nation: its name spans all rows, each name two columns, and the
+    last cell of a row holds a table of its own; end tags of cells and rows are left out."""
+    (supplier,) = read_tables(spark, root, "supplier")
+    inner = F.concat(
+        F.lit("<TABLE><tr><td>"), F.col("s_suppkey").cast("string"), F.lit("<tr><td>"),
+        F.when(F.col("s_acctbal") < 0, "debt").otherwise("credit"), F.lit("</table>"),
+    )
+    cells = F.concat(F.lit("<td colspan=2>"), "s_name", F.lit("<!-- <td> --><td><script>'<td>'</script>"), inner)
+    pages = (
+        supplier.groupBy(F.col("s_nationkey").alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct("s_suppkey", cells.alias("td")))).alias("rows"))
+        .select(
+            "page",
+            F.concat(
+                F.lit("<table><thead><tr><th>Nation<th colspan='2'>Supplier</th><th>More<tbody><tr><td rowspan=0>nation "),
+                F.col("page").cast("string"),
+                F.lit("\n &#60;&#xE9;&gt;</td>"),
+                F.array_join(F.col("rows.td"), "<tr>"),
+                F.lit("</table>"),
+            ).alias("html"),
+        )
+    )
+    return page_tables(pages, "html", ["page"]).select("page", "table", "row", F.array_join("cells", "|").alias("cells"))
+
+
 @query("companies", """
 SELECT DISTINCT o_custkey::VARCHAR AS ticker, o_orderpriority AS spindex FROM orders WHERE year(o_orderdate) = 1998
 """)

@@ -65,7 +65,7 @@ def mutated(rng, word, alphabet, most):
     return word
 
 
-@pytest.mark.parametrize("cutoff", [51, 60, 80, 90, 100])
+@pytest.mark.parametrize("cutoff", [0, 1, 20, 30, 50, 51, 60, 80, 90, 100])
 @pytest.mark.parametrize("alphabet", ["ab", "abcdefgh "])
 def test_equals_cross_product(spark, cutoff, alphabet):
     rng = random.Random(f"{cutoff}{alphabet}")
@@ -82,6 +82,15 @@ def test_hot_blocks_are_salted(spark, monkeypatch):
     choices = [f"university of {''.join(rng.choice('abc') for _ in range(5))}" for _ in range(50)]
     names = [mutated(rng, rng.choice(choices), "abc ", 4) for _ in range(150)]
     assert blocked(spark, names, choices, 80) == brute(names, choices, 80)
+    assert blocked(spark, names, choices, 10) == brute(names, choices, 10)
+
+
+def test_names_like_no_choice(spark):
+    names, choices = ["zzz", "ba", "q1", None, "--"], ["abc", "abd", "", None]
+    wanted = {"zzz": ("abc", 0.0), "q1": ("abc", 0.0), "ba": ("abc", 100.0 / 3)}
+    assert blocked(spark, names, choices, 0) == brute(names, ["abc", "abd"], 0) == wanted
+    assert set(blocked(spark, names, choices, 1)) == {"ba"}
+    assert blocked(spark, names, [""], 0) == {}
 
 
 def test_cases(spark):
@@ -109,7 +118,7 @@ def test_carried_columns(spark):
     assert (row["match"], row["score"], row["s"]) == ("YALE UNIV", 100.0, 7.0)
 
 
-@pytest.mark.parametrize("cutoff", [0, 50, 101])
+@pytest.mark.parametrize("cutoff", [-1, 101])
 def test_cutoff_range(spark, cutoff):
     df = spark.createDataFrame([("a",)], NAMES)
     with pytest.raises(ValueError):

@@ -95,6 +95,37 @@ def test_first_html_table(spark):
     assert {tuple(r) for r in wide.collect()} == {(1, 0, "1", None), (1, 1, None, None)}
 
 
+def grids(spark, *pages):
+    df = spark.createDataFrame([(i, p, 7) for i, p in enumerate(pages)], "row int, html string, table int")
+    out = {}
+    for r in sorted(html.page_tables(df, "html", ["row"]).toDF("page", "table", "row", "header", "cells").collect()):
+        out.setdefault((r["page"], r["table"]), []).append(r["cells"])
+        assert r["header"] == out[r["page"], r["table"]][0]
+    return out
+
+
+def test_spans_stand_in_every_place(spark):
+    page = "<table><tr><td rowspan=2>a<td colspan=2>b<td>c<tr><td>d<td rowspan='9'>e<tr><td>f</table>"
+    assert grids(spark, page) == {(0, 0): [["a", "b", "b", "c"], ["a", "d", "e"], ["f", None, "e"]]}
+    odd = "<table><tr><td colspan=0>a<td colspan=x rowspan=-1>b<td rowspan=0>c<tr><td colspan=3>d<tr></table>"
+    assert grids(spark, odd) == {(0, 0): [["a", "b", "c"], ["d", "d", "c"], [None, None, "c"]]}
+
+
+def test_nested_tables_are_tables_of_their_own(spark):
+    page = "<table><tr><td>a<table><tr><td>x</td></tr></table>b</td><td>c</td></tr><tr><td>d</table><TABLE><td>z"
+    assert grids(spark, page) == {(0, 0): [["ab", "c"], ["d"]], (0, 1): [["x"]], (0, 2): [["z"]]}
+
+
+def test_odd_pages(spark):
+    long = "<table>" + "<tr><td>&#8364;&amp;amp;</td>" * 9000
+    many = grids(spark, None, "", "<p>no</p>", "<table></table>", long, "<table", "<table><tr><td>a < b &nbsp; c")
+    assert many == {(4, 0): [["€&amp;"]] * 9000, (6, 0): [["a < b c"]]}
+    empty = spark.createDataFrame([], "html string, cells int")
+    assert html.page_tables(empty, "html").count() == 0
+    clash = spark.createDataFrame([(PAGE, 1)], "header string, html int")
+    assert html.first_table(clash, "header", {"Symbol": "s"}, ["html"]).columns == ["html", "row", "s"]
+
+
 def test_pull(spark):
     df = spark.range(5)
     assert tables.pull(spark, "SELECT count(*) AS n FROM {t} WHERE id > 1", t=df).first()["n"] == 3
