@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +34,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def stage_tables(
-    sources: dict[str, DataFrame], root: str, as_of: dt.date | str, year: int = gov.YEAR
+    sources: dict[str, DataFrame],
+    root: str,
+    as_of: dt.date | str,
+    year: int = gov.YEAR,
+    store: Callable[[DataFrame, str], DataFrame] = snapshot,
 ) -> dict[str, DataFrame]:
-    """Writes companies, universities, ceo_v0, board_v0, div_v0, roa_v0 and full_v0 below ``root``."""
+    """Writes companies, universities, ceo_v0, board_v0, div_v0, roa_v0 and full_v0 below ``root``.
+
+    A failed run leaves the stages that it did not reach. Stages are plain folders; with
+    ``store=write_stage`` jobs that read the version before can finish, and ``read_stage`` reads them.
+    """
     t = {name: conform(sources[name], schema) for name, schema in SOURCES.items()}
     out: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> None:
-        out[name] = snapshot(df, f"{root.rstrip('/')}/{name}")
+        out[name] = store(df, f"{root.rstrip('/')}/{name}")
 
     keep("companies", gov.companies(t["governance"], year))
     keep("universities", gov.universities(t["rankings"]))

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from boardlens.operators.rows import union_all
 from boardlens.schemas import RANKINGS
+from boardlens.sources.tables import replace_folder
 
 # The ranking years and their file name.
 RANKING_YEARS = range(2011, 2025)
@@ -31,7 +32,8 @@ def _by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """Files with a header below ``path``; old ones go once the new ones are whole."""
+    replace_folder(df, path, lambda rows, folder: rows.write.csv(folder, header=True, escape='"'))
 
 
 def read_rankings(spark: SparkSession, root: str, years=RANKING_YEARS) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +166,82 @@ def test_filters_and_columns_reach_the_scan(spark):
 @pytest.mark.parametrize("name", [n for n in dir(schemas) if n.isupper() and n[0] != "_"])
 def test_schemas(name):
     assert len(getattr(schemas, name).names) >= 2
+
+
+def versions(path) -> list[str]:
+    return sorted(p.name for p in path.iterdir() if p.is_dir())
+
+
+def test_stage_survives_a_failed_write(spark, tmp_path):
+    path = tmp_path / "stage"
+    tables.write_stage(spark.range(3), str(path))
+    # the task fails after it has written some rows
+    broken = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_stage(broken, str(path))
+    assert sorted(r.id for r in tables.read_stage(spark, str(path)).collect()) == [0, 1, 2]
+    tables.write_stage(spark.range(7), str(path))
+    assert tables.read_stage(spark, str(path)).count() == 7
+    assert len(versions(path)) == 2, "the failed write's folder has gone"
+
+
+def test_stage_keeps_the_version_before_for_its_readers(spark, tmp_path):
+    path = tmp_path / "stage"
+    first = tables.write_stage(spark.range(3), str(path))
+    # a stage may be made from itself
+    second = tables.write_stage(first.select(F.col("id") + 10), str(path) + "/")
+    assert sorted(r.id for r in first.collect()) == [0, 1, 2]
+    third = tables.write_stage(spark.range(1).select(F.lit("x").alias("other")), str(path))
+    assert sorted(r[0] for r in second.collect()) == [10, 11, 12]
+    assert third.columns == ["other"] and len(versions(path)) == 2
+
+
+def test_stage_types_empty_tables_and_missing_stages(spark, tmp_path):
+    df = spark.createDataFrame([], "a int, b array<struct<x: date>>, c decimal(10,2)")
+    back = tables.write_stage(df, str(tmp_path / "s"))
+    assert back.schema == df.schema and back.count() == 0
+    with pytest.raises(FileNotFoundError):
+        tables.read_stage(spark, str(tmp_path / "none"))
+
+
+def test_failed_snapshot_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.snapshot(spark.range(2), path)
+    broken = spark.range(2).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.snapshot(broken, path)
+    grown = tables.snapshot(spark.read.parquet(path).select(F.col("id") + 5), path)
+    assert sorted(r[0] for r in grown.collect()) == [5, 6]
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_failed_csv_keeps_the_old_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    csvio.write_csv(spark.range(2), path)
+    broken = spark.range(2).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        csvio.write_csv(broken, path)
+    assert spark.read.csv(path, header=True).count() == 2
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_tasks_find_the_package_from_any_folder(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+def where(batches):
+    import boardlens
+    for batch in batches:
+        yield batch
+from boardlens.session import ship
+entry.entry(spark)
+ship(spark)
+print("rows", spark.range(3).mapInArrow(where, "id long").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_SUBMIT_ARGS")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 3" in done.stdout, done.stderr[-2000:]
