@@ -42,6 +42,8 @@ SHORT, RUN = 2, 3
 BRIDGE = 4
 #: Spans scored at once, spans remembered by a task, and characters of the texts taken together.
 BATCH = 10_000
+#: Rows of the matrix over landmarks that the driver works on at once.
+BLOCK = 1000
 MEMORY = 200_000
 CHARACTERS = 1_000_000
 #: Toxic and clean landmarks; toxic ones have one of LENGTHS and a kernel below APART with each other.
@@ -259,15 +261,25 @@ def _typical(bags: list[list[str]], positive: np.ndarray) -> tuple[list[str], np
     return chosen, np.array([worth[s] / pos[s] for s in chosen]), clean
 
 
-def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 25) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by Newton steps on its active rows."""
-    x = np.column_stack([z, np.ones(len(z))])
-    w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+def _hinge(
+    z: np.ndarray, at: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 25
+) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss over the rows ``at`` of ``z``, by Newton steps on its active rows.
+
+    Rows are summed up block by block, so that no second matrix of all rows is held.
+    """
+    w, keep = np.zeros(z.shape[1] + 1), np.full(z.shape[1] + 1, ridge)
     keep[-1] = 1e-9
     for _ in range(rounds):
-        active = y * (x @ w) < 1
-        xa, wa = x[active], weight[active]
-        new = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(keep), xa.T @ (wa * y[active]))
+        curve, pull = np.diag(keep), np.zeros(len(w))
+        for k in range(0, len(at), BLOCK):
+            x = np.column_stack([z[at[k : k + BLOCK]], np.ones(len(at[k : k + BLOCK]))])
+            yk, wk = y[k : k + BLOCK], weight[k : k + BLOCK]
+            active = yk * (x @ w) < 1
+            xa, wa = x[active], wk[active]
+            curve += (xa * wa[:, None]).T @ xa
+            pull += xa.T @ (wa * yk[active])
+        new = np.linalg.solve(curve, pull)
         if np.abs(new - w).max() < 1e-7:
             break
         w = new
@@ -328,9 +340,9 @@ def fit_bags(bags: list[list[str]], positive: np.ndarray, weight: np.ndarray, pa
     place = {s: k for k, s in enumerate(names)}
     # the first witnesses are the spans nearest to the most typical landmarks
     z, score = np.empty((len(names), root.shape[1]), np.float32), np.empty(len(names))
-    for k in range(0, len(names), BATCH):
-        close = kernel(names[k : k + BATCH])
-        z[k : k + BATCH], score[k : k + BATCH] = close @ root, (close[:, : len(toxic)] * worth).max(axis=1)
+    for k in range(0, len(names), BLOCK):
+        close = kernel(names[k : k + BLOCK])
+        z[k : k + BLOCK], score[k : k + BLOCK] = close @ root, (close[:, : len(toxic)] * worth).max(axis=1)
     inside = [np.array([place[s] for s in bags[i]]) for i in train]
     toxic_rows = [b for b, i in zip(inside, train, strict=True) if positive[i]]
     clean_rows = [b for b, i in zip(inside, train, strict=True) if not positive[i]]
@@ -350,8 +362,9 @@ def fit_bags(bags: list[list[str]], positive: np.ndarray, weight: np.ndarray, pa
         hard = np.concatenate([hard[:BATCH], hard[BATCH::stride]])
         at = np.concatenate([witness, hard])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(hard))])
-        w, bias = _hinge(z[at], y, np.concatenate([times / len(toxic_rows), held[hard] * heavy]))
-        score = z @ w + bias
+        w, bias = _hinge(z, at, y, np.concatenate([times / len(toxic_rows), held[hard] * heavy]))
+        for k in range(0, len(names), BLOCK):
+            score[k : k + BLOCK] = z[k : k + BLOCK] @ w + bias
     # the kernel's landmarks and the triples' table give the same function
     letters, base = kernel.letters, len(kernel.letters) + 1
     table = np.zeros(base**3, np.float32)
