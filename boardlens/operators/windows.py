@@ -52,7 +52,7 @@ def row_lag(
     A first job counts the rows per key (in ``count_from`` if that is cheaper and holds at least
     the same rows). Keys of up to ``split_rows`` rows are sorted in one window. Longer ones are
     range-sorted by key and ``order``, whatever its types, nulls included, into runs of about that
-    many rows and written; each run is sorted in a task of its own, and its first ``n`` rows take
+    many rows, but no more runs than ``spark.sql.shuffle.partitions``, and written; each run is sorted in a task of its own, and its first ``n`` rows take
     their value from the last rows of the runs before it. Only rows equal in all of ``order`` share a
     run. Both ways return the same columns.
     """
@@ -64,11 +64,13 @@ def row_lag(
     if total is None:
         return rows.withColumn(out, F.lag(value, n).over(w))
 
+    # every run costs the driver a sample, a task and a file: their number must not follow the rows
+    runs = min(math.ceil(total / split_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = hot.select(key)
     plain = rows.join(hot, key, "left_anti").withColumn(out, F.lag(value, n).over(w))
     cut = snapshot(
         rows.join(hot, key, "left_semi")
-        .repartitionByRange(math.ceil(total / split_rows), key, *order)
+        .repartitionByRange(max(2, runs), key, *order)
         .withColumn("_run", F.spark_partition_id())
     )
     within = Window.partitionBy(key, "_run").orderBy(*order)

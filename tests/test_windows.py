@@ -8,8 +8,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from boardlens.operators import windows
 from boardlens.operators.windows import first_of_newest, first_per_key, row_lag
 from boardlens.plans import governance as gov
+from boardlens.sources.tables import snapshot
 
 START = dt.date(2020, 1, 1)
 
@@ -115,3 +117,13 @@ def test_first_of_newest(spark, partitions):
         ("two directors", 2, "CEO"), ("two titles", 1, "Acting CEO"), ("equal years", 1, "CEO"),
         ("undated", 2, "CEO"), ("all undated", 1, "CEO"),
     }
+
+
+def test_runs_do_not_follow_the_rows(spark, monkeypatch):
+    """A run costs the driver a sample and a task: 200 rows cut at 3 make no more of them than the session shuffles into."""
+    made = []
+    monkeypatch.setattr(windows, "snapshot", lambda df: made.append(snapshot(df)) or made[-1])
+    df = series(spark, {"hot": 200, "a": 90})
+    split = row_lag(df, "k", ["d", "i"], "v", 4, "prev", 3)
+    assert 2 <= made[0].select("_run").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(split.collect()) == set(row_lag(df, "k", ["d", "i"], "v", 4, "prev").collect())
