@@ -25,8 +25,8 @@ from boardlens.sources.tables import snapshot
 BLOCK = ["_len", "_t", "_i", "_seg"]
 # Choices in a block beyond which its names are spread over several tasks.
 HOT_BLOCK = 256
-# Below segments' reach names are settled from high cutoffs to low ones: few get to the lowest.
-RUNGS = (51, 35, 20)
+# Names are settled from high cutoffs to low ones: long segments select best, and few names get to the short ones.
+RUNGS = (92, 86, 80, 70, 60, 51, 35, 20)
 
 
 def _segment(length: Column, t: Column, i: Column) -> tuple[Column, Column]:
@@ -169,9 +169,9 @@ def best_match(
 
     A match needs a score of at least ``cutoff``; the best score wins, then the alphabetically
     first choice. Null and blank names match nothing. Names equal to a choice after normalising
-    are settled by an equi-join, only the others are cut into segments. A cutoff of 50 or below is
-    reached in steps, each for the names that found nothing before; at 0 a name like no choice
-    takes the first of all choices.
+    are settled by an equi-join, only the others are cut into segments. The cutoff is reached in steps,
+    each for the names that found nothing before, as no choice below a step's cutoff beats one above it;
+    at 0 a name like no choice takes the first of all choices.
     """
     if not 0 <= cutoff <= 100:
         raise ValueError("cutoff must lie between 0 and 100")
@@ -193,7 +193,9 @@ def best_match(
     exact = equal.where(F.col("_choice").isNotNull())
     rest = equal.where(F.col("_choice").isNull()).select(name, "_name")
     found = exact.select(name, "_match", F.lit(100.0).alias(score))
-    for rung in (r for r in RUNGS if cutoff <= 50 and r > cutoff):
+    for rung in (r for r in RUNGS if r > cutoff):
+        if rest.isEmpty():
+            break
         near = snapshot(_near(rest, name, offered, rung, score))
         found, rest = found.unionByName(near), snapshot(rest.join(near, name, "left_anti"))
     near = _near(rest, name, offered, cutoff, score)

@@ -123,3 +123,18 @@ def test_cutoff_range(spark, cutoff):
     df = spark.createDataFrame([("a",)], NAMES)
     with pytest.raises(ValueError):
         best_match(df, "name", df, "name", cutoff)
+
+
+def test_near_names_never_meet_short_segments(spark, monkeypatch):
+    """Names one letter off are settled at a high cutoff; only names like no choice get to the lowest."""
+    met, near = [], fuzzy._near
+
+    def counted(names, name, offered, cutoff, score):
+        met.append((cutoff, names.count()))
+        return near(names, name, offered, cutoff, score)
+
+    monkeypatch.setattr(fuzzy, "_near", counted)
+    choices = [f"{i:04d}abcdefghijklmnop" for i in range(30)]
+    names = [c + "x" for c in choices] + ["0000zzzzzzzzzzzz"]
+    assert blocked(spark, names, choices, 60) == brute(names, choices, 60)
+    assert met[0][1] == 31 and met[-1] == (60, 1)
