@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from boardlens.operators.features import hash_split
-from boardlens.operators.models import Size, accuracy, registry, repeated_runs
+from boardlens.operators.models import Model, Size, accuracy, registry, repeated_runs
 from boardlens.plans.experiments import BINARY, NUMERIC, prepare_features, score_all
 
 
@@ -169,3 +169,22 @@ def test_slots_equal_the_encoders(spark):
     full = df.dropna()
     want = {(r["v"], int(r["s"])) for r in fit_labels(full, "v", "s").transform(full).collect()}
     assert got == want | {(None, None)}
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_rows_are_spread_over_the_cores(spark, separable, parts):
+    """One file or many: every core fits, and no more parts than that send sums to the driver."""
+    seen = []
+
+    class Estimator:
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+
+    Model(Estimator()).fit(separable.coalesce(1).repartition(parts))
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_forests_keep_the_node_of_each_row():
+    """Without it each pass sends whole trees to every task and walks all rows down them."""
+    forests = [m.estimator for n, m in registry(Size(4, 3)).items() if n.startswith("rf")]
+    assert all(f.getCacheNodeIds() and f.getMaxMemoryInMB() >= 1024 for f in forests)
