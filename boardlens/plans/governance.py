@@ -111,17 +111,42 @@ def director_degrees(
     )
 
 
-def role_spans(held: DataFrame, as_of: dt.date | str) -> DataFrame:
+def telling_roles(roles: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """The roles that tell who is chief executive and who held another role before, with dates.
+
+    Other chief-executive titles (regional, division) and null titles tell neither. Of roles without
+    such a title only firm, director and start count, so their names and titles are blanked and fall
+    into one group. A chief executive's start that is no date stays as text in ``bad_start``.
+    """
+    role = F.col("rolename")
+    ceo, other = is_ceo(role), ~contains_ci(role, "CEO")
+    start = F.col("start")
+    return (
+        roles.withColumn("start", lenient_date(F.col("datestartrole")))
+        .where(ceo | other)
+        .select(
+            "companyid",
+            "directorid",
+            F.when(ceo, F.col("directorname")).alias("directorname"),
+            F.when(ceo, role).otherwise("").alias("rolename"),
+            "start",
+            F.when(ceo & start.isNull(), F.col("datestartrole")).alias("bad_start"),
+            F.when(ceo, date_or(F.col("dateendrole"), as_of)).alias("end"),
+        )
+    )
+
+
+def role_spans(held: DataFrame) -> DataFrame:
     """One row per (ticker, director, name, role): first and latest start and the latest end.
 
-    The one pass over the roles; everything about chief executives follows from this table.
+    The one pass over the ``telling_roles``; everything about chief executives follows from this
+    table. A chief executive's start that is no date fails here under ANSI mode.
     """
-    start = F.col("datestartrole")
+    start = F.col("start")
     return held.groupBy(*ROLE_KEYS).agg(
-        F.min(strict_date(F.when(is_ceo(F.col("rolename")), start))).alias("start"),
-        F.min(lenient_date(start)).alias("earliest_start"),
-        F.max(lenient_date(start)).alias("latest_start"),
-        F.max(date_or(F.col("dateendrole"), as_of)).alias("end"),
+        F.min(F.coalesce(start, strict_date(F.col("bad_start")))).alias("start"),
+        F.max(start).alias("latest_start"),
+        F.max("end").alias("end"),
     )
 
 
@@ -134,7 +159,7 @@ def ceo_spells(spans: DataFrame) -> DataFrame:
     spells = (
         spans.where(is_ceo(role))
         .dropna(subset=ROLE_KEYS)
-        .drop("earliest_start", "latest_start")
+        .drop("latest_start")
         .withColumns(
             {
                 "_key": F.struct("directorid", "directorname", "rolename"),
@@ -155,7 +180,7 @@ def promotions(spans: DataFrame) -> DataFrame:
     """
     role = F.col("rolename")
     return preceded_by_other(
-        spans.withColumn("_start", F.when(contains_ci(role, "CEO"), F.col("latest_start")).otherwise(F.col("earliest_start"))),
+        spans.withColumn("_start", F.when(contains_ci(role, "CEO"), F.col("latest_start")).otherwise(F.col("start"))),
         ["ticker", "directorid"],
         "rolename",
         contains_ci(role, "CEO"),
@@ -178,14 +203,15 @@ def ceo_background(
     and earlier roles are looked up for that row only. Roles are read once, into a stored table.
     """
     listed = companies.where(F.col("ticker").isNotNull()).select("ticker").distinct()
-    held = keep_matching(firm_roles(roles, orgs), listed, ["ticker"])
-    spans = snapshot(role_spans(held, as_of))
+    held = keep_matching(firm_roles(telling_roles(roles, as_of), orgs), listed, ["ticker"])
+    spans = snapshot(role_spans(held))
     newest = first_of_newest(ceo_spells(spans), "ticker", "directorid", "validstart", ["_key"])
     current = snapshot(
         newest.select("ticker", "_key.directorid", "_key.rolename", "tenure", "founder", "is_co_ceo")
     )
     degrees = director_degrees(education, universities, current.select("directorid").distinct(), cutoff)
-    promoted = promotions(spans).withColumn("internal_promotion", F.lit(True))
+    own = keep_matching(spans, current.select("ticker", "directorid"), ["ticker", "directorid"])
+    promoted = promotions(own).withColumn("internal_promotion", F.lit(True))
     return (
         current.join(promoted, ["ticker", "directorid", "rolename"], "left")
         .join(degrees, "directorid", "left")
@@ -246,7 +272,8 @@ def director_diversity(
     """Share of women, diversity committee and Shannon index of ethnicity per company.
 
     Every distinct director row of a firm would meet every committee of the firm equally often,
-    so shares are taken over the directors and the committees are only asked for a keyword.
+    so shares are taken over the directors and the committees are only asked for a keyword. Committees
+    without it are dropped before any shuffle, as a firm that meets none with it counts as false.
     """
     people = (
         directors.where((F.col("year") == year) & F.col("ticker").isNotNull())
@@ -267,11 +294,9 @@ def director_diversity(
     )
     if not keep_zero:
         shares = shares.where("female_pct > 0")
-    named = any_true(
-        committees, "boardid", matches_ci(F.col("committeename"), DIVERSITY_PATTERN), "_named"
-    )
-    firms = orgs.select("boardid", "ticker").distinct()
-    named = any_true(firms.join(named, "boardid"), "ticker", F.col("_named"), "_named")
+    telling = committees.where(matches_ci(F.col("committeename"), DIVERSITY_PATTERN))
+    named = any_true(telling, "boardid", F.lit(True), "_named")
+    named = any_true(orgs.join(named, "boardid"), "ticker", F.col("_named"), "_named")
     diversity = shares.join(named, "ticker", "left").select(
         "ticker",
         "female_pct",

@@ -178,6 +178,47 @@ def test_director_written_two_ways(spark, warehouse):
     assert by_ticker(out)["AAA"]["internal_promotion"] is True
 
 
+def test_only_telling_roles_are_stored(spark):
+    """Other titles are one group per director, and titles that tell nothing are dropped before the join."""
+    roles = spark.createDataFrame(
+        [(1, 9, "Ann", "CEO", "2012-01-01", "N"), (1, 9, "Ann", "Regional CEO", "2001-01-01", None),
+         (1, 9, "Ann", None, "2000-01-01", None), (1, 9, "Ann", "CFO", "2010-01-01", None),
+         (1, 9, "A. Lee", "Director", "2008-01-01", None), (1, 9, "Ann", "Chair", "no date", None),
+         (1, 9, "Ann", "CEO", None, "2015-05-05"), (1, 9, None, "CEO", "2013-01-01", None)],
+        schemas.ROLES,
+    )
+    orgs = spark.createDataFrame([(1, "AAA"), (1, "AAA")], schemas.ORGS)
+    spans = gov.role_spans(gov.firm_roles(gov.telling_roles(roles, AS_OF), orgs))
+    day = dt.date
+    assert {tuple(r) for r in spans.collect()} == {
+        ("AAA", 9, "Ann", "CEO", day(2012, 1, 1), day(2012, 1, 1), day(2024, 1, 1)),
+        ("AAA", 9, None, "CEO", day(2013, 1, 1), day(2013, 1, 1), day(2024, 1, 1)),
+        ("AAA", 9, None, "", day(2008, 1, 1), day(2010, 1, 1), None),
+    }
+    assert {tuple(r) for r in gov.promotions(spans).collect()} == {("AAA", 9, "CEO")}
+
+
+def test_bad_start_of_a_chief_executive_fails(spark, warehouse):
+    """Text that is no date fails for a listed firm's chief executive only."""
+    w = warehouse
+
+    def background(firm, title):
+        roles = spark.createDataFrame([(firm, 9, "Ann", title, "soon", None)], schemas.ROLES)
+        return gov.ceo_background(
+            gov.companies(w["governance"]), roles, w["orgs"], w["education"], gov.universities(w["rankings"]), AS_OF
+        ).collect()
+
+    assert background(1, "Regional CEO") == background(1, "CFO") == background(5, "CEO") == []
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        background(1, "CEO")
+
+
+def test_committees_without_a_keyword_are_not_shuffled(stages):
+    """The keyword is asked before the committees are grouped."""
+    plan = stages["div"]._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Filter" in line and "divers|incl|sustai" in line for line in plan.splitlines())
+
+
 def test_nan_is_a_missing_ratio(spark):
     table = [("A", dt.date(2020 + q // 4, 3 * (q % 4) + 1, 1), float(q)) for q in range(6)]
     table += [("A", dt.date(2022, 1, 1), float("nan")), ("B", dt.date(2022, 1, 1), float("nan"))]
