@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,3 +241,42 @@ def test_pipeline_reads_what_it_wrote(spark, warehouse, stages, tmp_path):
     stored = spark.read.parquet(f"{root}/final")
     assert final.columns == [*[c for c in full.columns if c != "roachange"], "roapredicted"]
     assert {r["ticker"] for r in stored.collect()} == {"AAA", "BBB"}
+
+
+def test_independent_stages_are_written_together(spark, warehouse, tmp_path):
+    """Each of the four waits for the others, which would never come one after another."""
+    from boardlens.plans import pipeline
+
+    four, written = threading.Barrier(4), []
+
+    def store(df, path):
+        name = path.rpartition("/")[2]
+        if name in ("ceo_v0", "board_v0", "div_v0", "roa_v0"):
+            four.wait(60)
+        written.append(name)
+        return df
+
+    out = pipeline.stage_tables(warehouse, str(tmp_path), AS_OF, store=store)
+    assert set(by_ticker(out["full_v0"])) == {"AAA", "BBB"}
+    assert written[0] == "companies" and written[-1] == "full_v0" and set(written) == set(out)
+
+
+def test_together_ends_all_before_a_failure(spark):
+    from boardlens.sources.tables import together
+
+    failed, ended = threading.Event(), []
+
+    def bad():
+        failed.set()
+        raise ValueError("bad")
+
+    def good():
+        assert failed.wait(60)
+        ended.append(spark.range(3).count())
+        return spark.range(3)
+
+    with pytest.raises(ValueError, match="bad"):
+        together(spark, bad, good)
+    assert ended == [3]
+    first, second = together(spark, lambda: spark.range(2), lambda: spark.range(4))
+    assert (first.count(), second.count()) == (2, 4)
