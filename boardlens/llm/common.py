@@ -21,6 +21,14 @@ def written(df: DataFrame) -> DataFrame:
     return snapshot(df)
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """``df`` in a partition for ``each`` of its about ``rows`` rows: at least one a core, never more than it has.
+
+    Small tables then don't start a task and write a file for each of many shuffle partitions.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def remove(*tables: DataFrame) -> None:
     """Delete tables made by ``written`` that no later plan reads."""
     drop_snapshots(*tables)

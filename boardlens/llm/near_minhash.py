@@ -14,13 +14,15 @@ different components are compared within their buckets, block by block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlens.llm.common import map_rows, remove, written
+from boardlens.llm.common import map_rows, remove, sized, written
 from boardlens.llm.components import components
 from boardlens.llm.shingles import Shingler
 
@@ -31,6 +33,13 @@ CHUNKS = VALUES // CHUNK
 DISTANCE = 2 * CHUNKS - 1
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Pairs that are compared at once, and 64-bit words of their bitmaps.
+PAIRS = 1 << 15
+WORDS = 1 << 17
+#: Rows that one task handles where the work on each is Python's: full sets, signatures, pairs of a bucket.
+SETS, SIGNATURES, MEMBERS = 1_000, 20_000, 10_000
+#: Rows of the index that one task handles.
+KEYS = 100_000
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +117,8 @@ def index(classes: DataFrame) -> DataFrame:
     return map_rows(classes.select("id", "signature"), "key long, id long", start)
 
 
-def hamming(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the number of values that differ; only those within DISTANCE."""
+def hamming(pairs: DataFrame, signatures: DataFrame, rows: int) -> DataFrame:
+    """``pairs`` (a, b), at most about ``rows``, with the number of values that differ; only those within DISTANCE."""
     both = pairs.join(signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a").join(
         signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"
     )
@@ -121,7 +130,8 @@ def hamming(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
         return make
 
-    return map_rows(both.select("a", "b", "sa", "sb"), "distance int", start, ["a", "b"]).filter(F.col("distance") <= DISTANCE)
+    both = sized(both.select("a", "b", "sa", "sb"), rows, SIGNATURES)
+    return map_rows(both, "distance int", start, ["a", "b"]).filter(F.col("distance") <= DISTANCE)
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
@@ -132,8 +142,8 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(held).tobytes()
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(id, n, cells, shingles) of the named documents; shingles are sorted little-endian 64-bit numbers."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int, count: int) -> DataFrame:
+    """(id, n, cells, shingles) of the named documents, at most about ``count``; shingles are sorted little-endian 64-bit numbers."""
 
     def start():
         shingle = Shingler(width)
@@ -146,11 +156,12 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width:
         return make
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return map_rows(rows.join(ids, "id", "left_semi"), "n long, cells binary, shingles binary", start, ["id"])
+    rows = sized(rows.join(ids, "id", "left_semi"), count, SETS)
+    return map_rows(rows, "n long, cells binary, shingles binary", start, ["id"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` whose sets hold 100 * intersection >= percent * union."""
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """Those of ``pairs``, at most about ``rows``, whose sets hold 100 * intersection >= percent * union."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -166,7 +177,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         return make
 
-    return map_rows(both.select("a", "b", "sa", "sb"), "ok boolean", start, ["a", "b"]).filter("ok").select("a", "b")
+    both = sized(both.select("a", "b", "sa", "sb"), rows, SETS)
+    return map_rows(both, "ok boolean", start, ["a", "b"]).filter("ok").select("a", "b")
 
 
 def _folded(cells: np.ndarray, size: int) -> np.ndarray:
@@ -176,69 +188,100 @@ def _folded(cells: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(bits, axis=-1)
 
 
-class Cells:
-    """Bitmaps of a group's rows, and a bound on what two sets share.
+def may_reach(n: np.ndarray, cells: pa.BinaryArray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows (a, b) may have a similarity of ``percent`` or more, by a bound on what two sets share.
 
     A cell that only one set fills holds at least one of its shingles that the other lacks, so the sets
     share at most n less such cells. Bitmaps of other sizes are folded to the smaller one first.
     """
-
-    def __init__(self, n: np.ndarray, cells: list[bytes]) -> None:
-        self.n = n
-        self.size = np.array([len(c) for c in cells])
-        self.cells = cells
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for s in np.unique(self.size):
-            at = np.flatnonzero(self.size == s)
-            place = np.full(len(n), -1)
-            place[at] = np.arange(len(at))
-            self.by_size[int(s)] = place, np.frombuffer(b"".join(cells[i] for i in at), np.uint8).reshape(len(at), s)
-
-    def may_reach(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
-        """Those of ``others`` whose similarity with row i may be ``percent`` or more."""
-        n, m = self.n[i], self.n[others]
-        others = others[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
-        kept = []
-        own = np.frombuffer(self.cells[i], np.uint8)
-        for s in np.unique(self.size[others]):
-            at = others[self.size[others] == s]
-            place, matrix = self.by_size[int(s)]
-            a, b = own, matrix[place[at]]
-            if s < len(own):
-                a = _folded(own, int(s))
-            elif s > len(own):
-                b = _folded(b, len(own))
-            a, b = a.view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
+    at = np.frombuffer(cells.buffers()[1], "<i4")[cells.offset : cells.offset + len(cells) + 1].astype(np.int64) // 8
+    words = np.frombuffer(cells.buffers()[2], "<u8", at[-1])
+    size = np.diff(at)
+    ok = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+    near = np.flatnonzero(ok)
+    if not len(near):
+        return ok
+    sizes, kind = np.unique(np.stack([size[a[near]], size[b[near]]]), axis=1, return_inverse=True)
+    for k, (sa, sb) in enumerate(sizes.T):
+        mine = near[kind.ravel() == k]
+        step = max(1, WORDS // int(max(sa, sb)))
+        for some in (mine[i : i + step] for i in range(0, len(mine), step)):
+            x, y = (words[at[r[some]][:, None] + np.arange(s)] for r, s in ((a, sa), (b, sb)))
+            if sb < sa:
+                x = _folded(x.view(np.uint8), int(sb) * 8).view(np.uint64)
+            elif sa < sb:
+                y = _folded(y.view(np.uint8), int(sa) * 8).view(np.uint64)
+            na, nb = n[a[some]], n[b[some]]
             shared = np.minimum(
-                n - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
-                self.n[at] - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64),
+                na - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64),
+                nb - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64),
             )
-            kept.append(at[100 * shared >= percent * (n + self.n[at] - shared)])
-        return np.concatenate(kept) if kept else others[:0]
-
-
-def _first_shared(sig: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Number (chunk * CHUNK + value left out) of the first key that a signature shares with each other."""
-    same = (others == sig).reshape(len(others), CHUNKS, CHUNK)
+            ok[some] = 100 * shared >= percent * (na + nb - shared)
+    return ok
+
+
+def _pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of the pairs to confirm within each (key, x, y), whose rows lie together."""
+    key, x, y, ids, comp, block, n = (table[c].to_numpy() for c in ("key", "x", "y", "id", "component", "block", "n"))
+    sig = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(-1, VALUES)
+    cells = table["cells"].combine_chunks()
+    row = np.arange(len(key))
+    end = np.append(_starts(key, x, y)[1:], len(key))
+    others = end[np.searchsorted(end, row, "right")] - row - 1
+    upto = np.append(0, others.cumsum())
+    at = 0
+    while at < len(key):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
+        a = np.repeat(row[at:to], others[at:to])
+        b = a + 1 + np.arange(len(a)) - np.repeat(upto[at:to] - upto[at], others[at:to])
+        at = to
+        met = ((block[a] == x[a]) & (block[b] == y[a])) | ((block[a] == y[a]) & (block[b] == x[a]))
+        met &= comp[a] != comp[b]
+        a, b = a[met], b[met]
+        same = sig[a] == sig[b]
+        close = np.flatnonzero(same.sum(axis=1) >= VALUES - DISTANCE)
+        close = close[_first_shared(same[close]) == key[a[close]] >> 48]
+        a, b = a[close], b[close]
+        kept = may_reach(n, cells, a, b, percent)
+        a, b = ids[a[kept]], ids[b[kept]]
+        yield np.minimum(a, b), np.maximum(a, b)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _first_shared(same: np.ndarray) -> np.ndarray:
+    """Number (chunk * CHUNK + value left out) of the first key that two signatures share, from which of their values are the same."""
+    same = same.reshape(len(same), CHUNKS, CHUNK)
     out = (same.sum(axis=2)[:, :, None] - same) == CHUNK - 1
-    return out.reshape(len(others), -1).argmax(axis=1)
+    return out.reshape(len(same), VALUES).argmax(axis=1)
 
 
 def open_pairs(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) within DISTANCE that share a bucket but no component yet and may be similar enough.
 
     A bucket is cut into blocks, and each pair of blocks is one group, so a bucket of any size is
-    spread over tasks and memory holds two blocks. Buckets inside one component are dropped first. A pair
+    spread over tasks. Groups lie one after another in a task, which compares those of a batch at once, so memory
+    holds a batch and two blocks. Buckets inside one component are dropped first. A pair
     comes only from the first key that it shares, and only if the bound of its bitmaps allows a link.
     """
     member = buckets.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    still = (
+    entries = buckets.count()
+    still = written(sized(
         member.groupBy("key")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
         .filter("lo < hi")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    rows = member.join(still, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        entries,
+    ))
+    total = still.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    rows = member.join(still.drop("n"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.join(signatures.select("id", "signature"), "id").join(sets.select("id", "n", "cells"), "id")
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -246,29 +289,27 @@ def open_pairs(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, set
     )
     rows = rows.select("key", "id", "component", "signature", "n", "cells", "block", F.explode(others).alias("pair"))
 
-    def compare(group: pa.Table) -> pa.Table:
-        block = group["block"].to_numpy()
-        ids, comp = group["id"].to_numpy(), group["component"].to_numpy()
-        sig = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u2").reshape(-1, VALUES)
-        cells = Cells(group["n"].to_numpy(), group["cells"].to_pylist())
-        tag = group["key"][0].as_py() >> 48
-        first, last = block == block.min(), block == block.max()
-        a, b = [ids[:0]], [ids[:0]]
-        for i in np.flatnonzero(first):
-            near = np.flatnonzero(last & (comp != comp[i]))
-            near = near[(sig[near] != sig[i]).sum(axis=1) <= DISTANCE]
-            near = near[_first_shared(sig[i], sig[near]) == tag] if len(near) else near
-            near = cells.may_reach(i, near, percent)
-            a.append(np.minimum(ids[near], ids[i]))
-            b.append(np.maximum(ids[near], ids[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return (
-        rows.select("key", "pair.x", "pair.y", "id", "component", "block", "signature", "n", "cells")
-        .groupBy("key", "x", "y")
-        .applyInArrow(compare, "a long, b long")
-        .distinct()
-    )
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if left is None else pa.concat_tables([left, rows]).combine_chunks()
+            # the last group may go on in the next batch
+            whole = int(_starts(*(rows[c].to_numpy() for c in ("key", "x", "y")))[-1]) if len(rows) else 0
+            left = rows.slice(whole)
+            yield from found(rows.slice(0, whole))
+        if left is not None:
+            yield from found(left)
+
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        for a, b in _pairs(rows, percent) if len(rows) else ():
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    rows = rows.select("key", "pair.x", "pair.y", "id", "component", "block", "signature", "n", "cells")
+    rows = sized(rows.repartition("key", "x", "y"), total, MEMBERS).sortWithinPartitions("key", "x", "y")
+    pairs = written(sized(rows.mapInArrow(compare, "a long, b long").distinct(), total))
+    remove(still)
+    return pairs
 
 
 def near_duplicates(
@@ -282,37 +323,46 @@ def near_duplicates(
     stay. Other columns of ``docs`` don't matter, whatever their names. An empty table gives none.
     """
     rows = written(scan(docs, doc_id, text, width))
+    count = rows.count()
     usable = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id")))
-    member = usable.join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "id")
-    leaders = written(
-        usable.join(classes, ["set_a", "set_b", "n_shingles"])
-        .filter("doc_id = id")
-        .select("id", "signature")
-        .dropDuplicates()
-    )
+    same = ["set_a", "set_b", "n_shingles"]
+    classes = usable.groupBy(*same).agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
+    classes = written(sized(classes, count))
+    member = usable.join(classes.select(*same, "id"), same).select("doc_id", "id")
+    leaders = classes.select("id", "signature")
+    heads = leaders.count()
     keys = index(leaders)
     shared = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
-    buckets = written(keys.join(shared.select("key", "lead"), "key"))
-    stars = written(
-        hamming(buckets.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), leaders)
-    )
+    buckets = written(sized(keys.join(shared.select("key", "lead"), "key"), VALUES * heads, KEYS))
+    pairs = buckets.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    stars = written(hamming(pairs, leaders, buckets.count()))
     nearest = stars.groupBy("b").agg(F.min(F.struct("distance", "a")).alias("best")).select("best.a", "b")
-    sets = written(shingle_sets(docs, buckets.select("id").distinct(), doc_id, text, width))
-    links = written(confirm(nearest, sets, percent))
+    sets = written(shingle_sets(docs, buckets.select("id").distinct(), doc_id, text, width, heads))
+    links = written(confirm(nearest, sets, percent, sets.count()))
     labels = components(links)
-    rest = written(open_pairs(buckets.select("key", "id"), labels, leaders, sets, percent))
-    more = written(confirm(rest, sets, percent))
-    joined = components(links.union(more))
+    rest = open_pairs(buckets.select("key", "id"), labels, leaders, sets, percent)
+    more = confirm(rest, sets, percent, found := rest.count())
+    # links found last tie components of the first together
+    ends = [labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    more = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    bridges = written(sized(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), found))
+    wider = components(bridges).select(F.col("id").alias("first"), F.col("component").alias("wider"))
     # copies of a class follow its leader; ids that repeat with other texts tie classes together
-    tied = written(
-        member.join(joined, "id", "left")
-        .select("doc_id", F.coalesce("component", "id").alias("component"))
+    tied = (
+        member.join(labels, "id", "left")
+        .select("doc_id", F.coalesce("component", "id").alias("first"))
+        .join(wider, "first", "left")
+        .select("doc_id", F.coalesce("wider", "first").alias("component"))
         .distinct()
     )
-    final = components(tied.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
-    out = rows.select("doc_id", "n_shingles").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    remove(buckets, stars, sets, links, rest, more)
+    tied = written(sized(tied, count))
+    own = tied.groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    several = own.filter("lo < hi").select("doc_id", "lo").join(tied, "doc_id")
+    repeated = written(sized(several.select(F.col("lo").alias("a"), F.col("component").alias("b")), count))
+    final = components(repeated).select(F.col("id").alias("lo"), "component")
+    own = own.select("doc_id", "lo").join(final, "lo", "left").select("doc_id", F.coalesce("component", "lo").alias("component"))
+    out = sized(rows.select("doc_id", "n_shingles").join(own, "doc_id", "left"), count)
+    remove(classes, buckets, stars, sets, links, rest, bridges, repeated)
     return out.select(
         "doc_id",
         "n_shingles",

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from boardlens.llm import near_minhash
 from boardlens.llm.common import table
+from boardlens.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +107,50 @@ def test_pigeonhole_finds_every_pair_within_the_distance(spark, different):
     keys = near_minhash.index(spark.createDataFrame(rows, "id long, signature binary")).toPandas()
     held = {i: set(g["key"]) for i, g in keys.groupby("id")}
     assert all(held[i] & held[i + 40] for i in range(40))
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Joins and aggregates in 64 partitions, and batches of three rows."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_small_tables_start_few_tasks(spark, many_partitions, monkeypatch):
+    """Near copies, chains of edits and sets of unlike sizes; a written table has no file for each shuffle partition."""
+    monkeypatch.setattr(near_minhash, "BLOCK", 2)
+    words, rows = [f"w{i}" for i in range(300)], []
+    for i in range(60):
+        words = words[:]
+        words[(i * 7) % 300] = f"x{i}"
+        rows.append((i, " ".join(words[: 40 + 4 * i])))
+    rows += [(100 + i, " ".join([f"y{j}" for j in range(120)] + [f"own{i}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    files = []
+    monkeypatch.setattr(near_minhash, "remove", lambda *tables: files.extend(len(t.inputFiles()) for t in tables))
+    assert found(near_minhash.near_duplicates(docs)) == brute(rows)
+    assert max(files) <= spark.sparkContext.defaultParallelism
+
+
+def test_components_of_few_edges_lie_in_few_files(spark, many_partitions):
+    edges = spark.range(1000).selectExpr("id AS a", "id + (id % 7 = 0)::int * 7 + 1 AS b").localCheckpoint()
+    out = components(edges)
+    assert len(out.inputFiles()) <= spark.sparkContext.defaultParallelism
+    parent = list(range(1010))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for r in edges.collect():
+        a, b = sorted((root(r.a), root(r.b)))
+        parent[b] = a
+    assert {r.id: r.component for r in out.collect()} == {i: root(i) for e in edges.collect() for i in (e.a, e.b)}
