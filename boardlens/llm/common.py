@@ -21,10 +21,11 @@ def written(df: DataFrame) -> DataFrame:
     return snapshot(df)
 
 
-def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
-    """``df`` in a partition for ``each`` of its about ``rows`` rows: at least one a core, never more than it has.
+def sized(df: DataFrame, rows: int, each: int = 10_000) -> DataFrame:
+    """``df`` in a partition for ``each`` of about ``rows`` rows: at least one a core, never more than it has.
 
-    Small tables then don't start a task and write a file for each of many shuffle partitions.
+    Small tables then don't start a task and write a file for each of many shuffle partitions. A join's
+    rows are those of its larger side, as both pass through its tasks.
     """
     return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
 

@@ -118,7 +118,7 @@ def index(classes: DataFrame) -> DataFrame:
 
 
 def hamming(pairs: DataFrame, signatures: DataFrame, rows: int) -> DataFrame:
-    """``pairs`` (a, b), at most about ``rows``, with the number of values that differ; only those within DISTANCE."""
+    """``pairs`` (a, b) with the number of values that differ; only those within DISTANCE. No table has more than about ``rows`` rows."""
     both = pairs.join(signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a").join(
         signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"
     )
@@ -143,7 +143,7 @@ def bitmap(shingles: np.ndarray) -> bytes:
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int, count: int) -> DataFrame:
-    """(id, n, cells, shingles) of the named documents, at most about ``count``; shingles are sorted little-endian 64-bit numbers."""
+    """(id, n, cells, shingles) of the named ones of ``count`` documents; shingles are sorted little-endian 64-bit numbers."""
 
     def start():
         shingle = Shingler(width)
@@ -161,7 +161,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, width:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
-    """Those of ``pairs``, at most about ``rows``, whose sets hold 100 * intersection >= percent * union."""
+    """Those of ``pairs`` whose sets hold 100 * intersection >= percent * union. No table has more than about ``rows`` rows."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -335,17 +335,19 @@ def near_duplicates(
     shared = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
     buckets = written(sized(keys.join(shared.select("key", "lead"), "key"), VALUES * heads, KEYS))
     pairs = buckets.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    stars = written(hamming(pairs, leaders, buckets.count()))
+    stars = written(hamming(pairs, leaders, max(buckets.count(), heads)))
     nearest = stars.groupBy("b").agg(F.min(F.struct("distance", "a")).alias("best")).select("best.a", "b")
-    sets = written(shingle_sets(docs, buckets.select("id").distinct(), doc_id, text, width, heads))
-    links = written(confirm(nearest, sets, percent, sets.count()))
+    sets = written(shingle_sets(docs, buckets.select("id").distinct(), doc_id, text, width, count))
+    full = sets.count()
+    links = written(confirm(nearest, sets, percent, full))
     labels = components(links)
     rest = open_pairs(buckets.select("key", "id"), labels, leaders, sets, percent)
-    more = confirm(rest, sets, percent, found := rest.count())
+    most = max(rest.count(), full)
+    more = confirm(rest, sets, percent, most)
     # links found last tie components of the first together
     ends = [labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
     more = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    bridges = written(sized(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), found))
+    bridges = written(sized(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), most))
     wider = components(bridges).select(F.col("id").alias("first"), F.col("component").alias("wider"))
     # copies of a class follow its leader; ids that repeat with other texts tie classes together
     tied = (
