@@ -347,7 +347,7 @@ def near_duplicates(
     # links found last tie components of the first together
     ends = [labels.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
     more = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    bridges = written(sized(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), most))
+    bridges = written(sized(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), most, SETS))
     wider = components(bridges).select(F.col("id").alias("first"), F.col("component").alias("wider"))
     # copies of a class follow its leader; ids that repeat with other texts tie classes together
     tied = (
